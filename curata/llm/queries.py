@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from curata.llm import bpe
+from curata.llm import bpe, quality_rules, token_counts
 
 QUERIES = {
     "op2_bpe": bpe.query,
+    "op4_token_counts": token_counts.query,
+    "op8_quality_rules": quality_rules.query,
 }
 
 ORACLES: dict[str, str] = {}
