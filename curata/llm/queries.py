@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from curata.llm import bpe, quality_rules, token_counts
+from curata.llm import bpe, quality_rules, simhash, token_counts
 
 QUERIES = {
     "op2_bpe": bpe.query,
     "op4_token_counts": token_counts.query,
+    "op7_simhash": simhash.query,
     "op8_quality_rules": quality_rules.query,
 }
 
