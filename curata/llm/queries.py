@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from curata.llm import bpe, quality_rules, simhash, token_counts
+from curata.llm import bpe, decontamination, quality_rules, simhash, token_counts, url_filter
 
 QUERIES = {
+    "op1_decontamination": decontamination.query,
     "op2_bpe": bpe.query,
+    "op3_url_filter": url_filter.query,
     "op4_token_counts": token_counts.query,
     "op7_simhash": simhash.query,
     "op8_quality_rules": quality_rules.query,
