@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from curata.llm import bpe, decontamination, quality_rules, simhash, token_counts, url_filter
+from curata.llm import bpe, decontamination, line_dedup, quality_rules, simhash, token_counts, url_filter
 
 QUERIES = {
     "op1_decontamination": decontamination.query,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_token_counts": token_counts.query,
     "op7_simhash": simhash.query,
     "op8_quality_rules": quality_rules.query,
+    "op10_line_dedup": line_dedup.query,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op10_line_dedup": line_dedup.SQL}
