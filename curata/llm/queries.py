@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from curata.llm import bpe, decontamination, gam, line_dedup, quality_rules, simhash, token_counts, url_filter
+from curata.llm import bpe, decontamination, gam, html_extract, line_dedup, quality_rules, simhash, token_counts, url_filter
 
 QUERIES = {
     "op1_decontamination": decontamination.query,
@@ -12,6 +12,7 @@ QUERIES = {
     "op6_quality_gam": gam.query,
     "op7_simhash": simhash.query,
     "op8_quality_rules": quality_rules.query,
+    "op9_html_extract": html_extract.query,
     "op10_line_dedup": line_dedup.query,
 }
 
