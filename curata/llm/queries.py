@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from curata.llm import bpe, decontamination, gam, html_extract, line_dedup, quality_rules, simhash, token_counts, url_filter
+from curata.llm import bpe, decontamination, gam, html_extract, line_dedup, quality_rules, simhash, suffix_dedup, token_counts, url_filter
 
 QUERIES = {
     "op1_decontamination": decontamination.query,
     "op2_bpe": bpe.query,
     "op3_url_filter": url_filter.query,
     "op4_token_counts": token_counts.query,
+    "op5_suffix_dedup": suffix_dedup.query,
     "op6_quality_gam": gam.query,
     "op7_simhash": simhash.query,
     "op8_quality_rules": quality_rules.query,
