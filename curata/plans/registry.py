@@ -6,11 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from curata.plans import selection
+from curata.plans import dialogs, metrics, reviews, selection
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
-for _module in (selection,):
+for _module in (selection, metrics, dialogs, reviews):
     QUERIES |= _module.QUERIES
     ORACLES |= _module.ORACLES
 
