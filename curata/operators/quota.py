@@ -19,3 +19,78 @@ def round_robin(df: DataFrame, bucket: Sequence[str], group: str, order: Sequenc
     ranked = df.withColumn("_round", F.row_number().over(in_group)).where(F.col("_round") <= quota)
     in_bucket = Window.partitionBy(*bucket).orderBy("_round", *turn)
     return ranked.withColumn("_place", F.row_number().over(in_bucket)).where(F.col("_place") <= quota).drop("_round", "_place")
+
+
+def balanced_pick(df: DataFrame, group: str, order: Sequence[Column], n: int, used: DataFrame | None = None) -> DataFrame:
+    """``n`` rows picked one by one, each time from the group with the fewest picks so far, in closed form.
+
+    The k-th pick of a group happens when the group has k picks, so rows are
+    ordered by the group's earlier picks plus k (``used``: group and ``picked`` of
+    former buckets), then k, then ``order``. At most ``n`` rows of a group enter.
+    """
+    w = Window.partitionBy(group).orderBy(*order)
+    ranked = df.withColumn("_k", F.row_number().over(w) - 1).where(F.col("_k") < n)
+    if used is not None:
+        ranked = ranked.join(used.select(group, F.col("picked").alias("_g")), group, "left").withColumn("_g", F.coalesce("_g", F.lit(0)))
+    else:
+        ranked = ranked.withColumn("_g", F.lit(0))
+    return ranked.orderBy(F.col("_g") + F.col("_k"), "_k", *order).limit(n).drop("_k", "_g")
+
+
+def picks(*parts: DataFrame, group: str) -> DataFrame:
+    """(``group``, ``picked``): how many rows of each group the parts hold."""
+    whole = parts[0].select(group)
+    for p in parts[1:]:
+        whole = whole.unionByName(p.select(group))
+    return whole.groupBy(group).agg(F.count("*").alias("picked"))
+
+
+def top_off(df: DataFrame, selected: DataFrame, bucket: Column, group: str, chunk: str, score: str, key: str, target: int) -> DataFrame:
+    """Rows that fill one bucket up to ``target``.
+
+    Candidates share no chunk with what is selected, which is frozen at the
+    bucket's start; they come in the order of their group's selected rows, then
+    score, group and key. Raises if there are too few.
+    """
+    have = selected.where(bucket).count()
+    need = max(0, target - have)
+    free = df.where(bucket).join(selected.select(key), key, "left_anti").join(selected.select(chunk).distinct(), chunk, "left_anti")
+    counted = free.join(picks(selected, group=group), group, "left")
+    found = counted.orderBy(F.coalesce("picked", F.lit(0)), F.desc(score), group, key).limit(need).select(*df.columns)
+    if found.count() < need:
+        raise ValueError(f"only {found.count()} of {need} rows can be added")
+    return found
+
+
+def hash_split(key: Column, modulo: int = 7, remainder: int = 0) -> Column:
+    """``eval`` for one in ``modulo`` keys by their stable hash, else ``train``."""
+    from curata.functions.hashing import hash_mod
+
+    if modulo <= 1:
+        raise ValueError("modulo must be greater than 1")
+    return F.when(hash_mod(key, modulo) == remainder, "eval").otherwise("train")
+
+
+def parse_quota(texts: Sequence[str], defaults: dict[tuple[str, str], int]) -> dict[tuple[str, str], int]:
+    """``defaults`` updated by overrides ``task=n`` (both splits) or ``split:task=n``."""
+    out = dict(defaults)
+    tasks, splits = {t for _, t in defaults}, {s for s, _ in defaults}
+    for text in texts:
+        name, eq, number = text.partition("=")
+        split, colon, task = name.rpartition(":")
+        if not eq or not number.strip().isdigit():
+            raise ValueError(f"not a quota: {text!r}")
+        if task.strip() not in tasks or (colon and split.strip() not in splits):
+            raise ValueError(f"unknown task or split: {name!r}")
+        for s in [split.strip()] if colon else splits:
+            out[s, task.strip()] = int(number)
+    return out
+
+
+def check_quota(df: DataFrame, split: str, task: str, targets: dict[tuple[str, str], int]) -> DataFrame:
+    """Buckets whose number of rows differs from the target: must be empty."""
+    spark = df.sparkSession
+    want = spark.createDataFrame([(s, t, n) for (s, t), n in targets.items()], f"`{split}` string, `{task}` string, target long")
+    have = df.groupBy(split, task).agg(F.count("*").alias("n"))
+    j = want.join(have, [split, task], "full_outer")
+    return j.where(~F.coalesce("n", F.lit(0)).eqNullSafe(F.coalesce("target", F.lit(0))))

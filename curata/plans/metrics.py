@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from curata.functions.hashing import hash_mod, stable_hash
-from curata.functions.text import normalized_key, preview
+from curata.functions.text import normalized_key
 from curata.session import table
 
 KEY_SQL = "replace(lower(trim(regexp_replace(coalesce({0}, ''), '[ \\t\\n\\r\\f\\x0B]+', ' ', 'g'))), 'ß', 'ss')"
@@ -40,7 +40,7 @@ def repeated_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Prompt openings (five characters) of several conversations: the 20 most repeated, with their range of conversations."""
     c = first_and_last(spark, sf_dir).where("prompt is not null").select("conv_id", F.substring(normalized_key(F.col("prompt")), 1, 5).alias("key"), F.sha2(normalized_key(F.col("answer")), 256).alias("a"))
     firsts = c.groupBy("key").agg(F.count("*").alias("n"), F.countDistinct("a").alias("n_answers"), F.min("conv_id").alias("first_conv"), F.max("conv_id").alias("last_conv"))
-    return firsts.where("n > 1").select(preview(F.col("key"), 60).alias("prompt"), "n", "n_answers", "first_conv", "last_conv", "key").orderBy(F.desc("n"), "key").limit(20).drop("key")
+    return firsts.where("n > 1").orderBy(F.desc("n"), "key").limit(20).select(F.col("key").alias("prompt"), "n", "n_answers", "first_conv", "last_conv")
 
 
 def duplicate_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -128,12 +128,11 @@ QUERIES = {
     for f in (dup_excess_by_lang, repeated_prompts, duplicate_pairs, length_stats, top_prefixes, decision_pivot, score_bands, attempt_hist, argmax_examples, doc_distribution, manifest_digest, source_rollup, stratified_sample)
 }
 
-_PREVIEW60 = "CASE WHEN length(key) <= 60 THEN key ELSE substr(key, 1, 57) || '...' END"
 ORACLES = {
     "dup_excess_by_lang": f"SELECT lang, count(*) AS n_rows, count(DISTINCT {KEY_SQL.format('text')}) AS n_distinct, count(*) - count(DISTINCT {KEY_SQL.format('text')}) AS excess FROM documents GROUP BY lang",
     "repeated_prompts": f"""WITH {CONV_SQL},
         k AS (SELECT conv_id, substr({KEY_SQL.format('prompt')}, 1, 5) AS key, {KEY_SQL.format('answer')} AS a FROM c WHERE prompt IS NOT NULL)
-        SELECT {_PREVIEW60} AS prompt, n, n_answers, first_conv, last_conv FROM
+        SELECT key AS prompt, n, n_answers, first_conv, last_conv FROM
         (SELECT key, count(*) AS n, count(DISTINCT a) AS n_answers, min(conv_id) AS first_conv, max(conv_id) AS last_conv FROM k GROUP BY key HAVING count(*) > 1)
         ORDER BY n DESC, key LIMIT 20""",
     "duplicate_pairs": f"""WITH {CONV_SQL}

@@ -6,14 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from curata.plans import dialogs, metrics, reviews, selection
+from curata.plans import dialogs, manuals, metrics, reviews, selection
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
-for _module in (selection, metrics, dialogs, reviews):
+for _module in (selection, metrics, dialogs, reviews, manuals):
     QUERIES |= _module.QUERIES
     ORACLES |= _module.ORACLES
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return QUERIES["round_robin_quota"](spark, sf_dir)
+    return QUERIES["curation_export"](spark, sf_dir)

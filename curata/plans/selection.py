@@ -2,53 +2,129 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from curata.functions.hashing import hash_mod, stable_hash
-from curata.operators.quota import round_robin
+from curata.functions.text import normalized_key
+from curata.operators.quota import balanced_pick, picks, round_robin, top_off
+from curata.operators.quota import hash_split as split_of
+from curata.plans.metrics import HASH_SQL, KEY_SQL
 from curata.session import table
 
 
 def hash_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows per language, source and split; one in seven goes to eval."""
     docs = table(spark, sf_dir, "documents")
-    split = F.when(hash_mod(F.col("doc_id"), 7) == 0, "eval").otherwise("train")
-    return docs.groupBy("lang", "source", split.alias("split")).agg(F.count("*").alias("n"))
+    return docs.groupBy("lang", "source", split_of(F.col("doc_id")).alias("split")).agg(F.count("*").alias("n"))
+
+
+def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return docs.select(split_of(F.col("doc_id")).alias("split"), "source", "doc_id", F.col("n_chars").alias("score"), stable_hash(F.col("doc_id")).alias("tie"), hash_mod(F.col("source"), 1000).alias("turn"))
 
 
 def round_robin_quota(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A quota of 40 per split, dealt in rounds over the sources."""
+    """A quota of 40 for each split, dealt in rounds over the sources."""
+    dealt = round_robin(candidates(spark, sf_dir), bucket=["split"], group="source", order=[F.desc("score"), F.asc("tie")], turn=["turn", "source"], quota=40)
+    return dealt.select("split", "source", "doc_id", "score")
+
+
+def balanced_quota(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Thirty rows of each split, evaluation first, balanced over sources across both."""
+    c = candidates(spark, sf_dir).select("split", "source", "doc_id", "score")
+    order: list[Column] = [F.desc("score"), F.asc("doc_id")]
+    first = balanced_pick(c.where("split = 'eval'"), "source", order, 30)
+    second = balanced_pick(c.where("split = 'train'"), "source", order, 30, picks(first, group="source"))
+    return first.unionByName(second)
+
+
+def topoff_quota(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Seeds (the longest documents by hash) filled up to 25 rows of each split without a repeated text."""
+    docs = table(spark, sf_dir, "documents")
+    rows = docs.select(split_of(F.col("doc_id")).alias("split"), "source", "doc_id", F.col("n_chars").alias("score"), F.sha2(normalized_key(F.col("text")), 256).alias("chunk"))
+    chosen = rows.where(hash_mod(F.concat(F.col("doc_id").cast("string"), F.lit("::seed")), 97) == 0).orderBy(F.desc("score"), "doc_id").limit(8)
+    for split in ("eval", "train"):
+        chosen = chosen.unionByName(top_off(rows, chosen, F.col("split") == split, "source", "chunk", "score", "doc_id", 25))
+    return chosen.select("split", "source", "doc_id", "score")
+
+
+def labelled_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Approved, rejected and unreviewed documents of each language."""
+    docs, labels = table(spark, sf_dir, "documents").select("doc_id", "lang"), table(spark, sf_dir, "labels")
+    good = docs.join(labels.where("quality = 1"), "doc_id", "left_semi").withColumn("part", F.lit("approved"))
+    bad = docs.join(labels.where("quality = 0"), "doc_id", "left_semi").withColumn("part", F.lit("rejected"))
+    rest = docs.join(labels, "doc_id", "left_anti").withColumn("part", F.lit("unreviewed"))
+    return good.unionByName(bad).unionByName(rest).groupBy("lang", "part").agg(F.count("*").alias("n"))
+
+
+def split_leakage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts of each split and those in both, by language; one row a text crosses the network."""
     docs = table(spark, sf_dir, "documents")
-    cand = docs.select(
-        F.when(hash_mod(F.col("doc_id"), 7) == 0, "eval").otherwise("train").alias("split"),
-        "source",
-        "doc_id",
-        F.col("n_chars").alias("score"),
-        stable_hash(F.col("doc_id")).alias("tie"),
-        hash_mod(F.col("source"), 1000).alias("turn"),
-    )
-    return round_robin(cand, bucket=["split"], group="source", order=[F.desc("score"), F.asc("tie")], turn=["turn", "source"], quota=40).select(
-        "split", "source", "doc_id", "score"
-    )
+    is_eval = split_of(F.col("doc_id")) == "eval"
+    keys = docs.groupBy("lang", F.sha2(normalized_key(F.col("text")), 256).alias("key")).agg(F.max(is_eval).alias("e"), F.max(~is_eval).alias("t"))
+    return keys.groupBy("lang").agg(F.count_if("e").alias("n_eval"), F.count_if("t").alias("n_train"), F.count_if(F.col("e") & F.col("t")).alias("n_shared"))
+
+
+def curation_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flagship: labelled documents through the gates, split, dealt by quota, without a text in both splits."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    rows = docs.join(labels.where("quality = 1").select("doc_id"), "doc_id", "left_semi").where(F.length(F.trim("text")) >= 80)
+    rows = rows.select("doc_id", "lang", "source", "n_chars", split_of(F.col("doc_id")).alias("split"), F.sha2(normalized_key(F.col("text")), 256).alias("key"), stable_hash(F.col("doc_id")).alias("tie"), hash_mod(F.col("source"), 1000).alias("turn"))
+    # a text in both splits stays in evaluation only, and once in either
+    firsts = rows.groupBy("key").agg(F.min(F.struct("split", "doc_id")).alias("first"))
+    once = rows.join(firsts, "key").where((F.col("doc_id") == F.col("first.doc_id")) & (F.col("split") == F.col("first.split")))
+    dealt = round_robin(once, bucket=["split", "lang"], group="source", order=[F.desc("n_chars"), F.asc("tie")], turn=["turn", "source"], quota=20)
+    return dealt.select("split", "lang", "source", "doc_id", "n_chars")
+
+
+QUERIES = {f.__name__: f for f in (hash_split, round_robin_quota, balanced_quota, topoff_quota, labelled_partition, split_leakage, curation_export)}
+
+_H = HASH_SQL.format("doc_id::VARCHAR")
+_SPLIT = f"CASE WHEN {_H} % 7 = 0 THEN 'eval' ELSE 'train' END"
+_KEY = f"sha256({KEY_SQL.format('text')})"
+
 
+def _top_off_sql(name: str, before: str, split: str) -> str:
+    return f"""{name} AS (
+      SELECT * FROM {before} UNION ALL
+      SELECT split, source, doc_id, score, chunk FROM (
+        SELECT r.*, row_number() OVER (ORDER BY coalesce(p.n, 0), score DESC, r.source, doc_id) AS place
+        FROM r LEFT JOIN (SELECT source, count(*) AS n FROM {before} GROUP BY source) p ON r.source = p.source
+        WHERE split = '{split}' AND doc_id NOT IN (SELECT doc_id FROM {before}) AND chunk NOT IN (SELECT chunk FROM {before}))
+      WHERE place <= 25 - (SELECT count(*) FROM {before} WHERE split = '{split}'))"""
 
-QUERIES = {"hash_split": hash_split, "round_robin_quota": round_robin_quota}
 
 ORACLES = {
-    "hash_split": """
-        SELECT lang, source,
-               CASE WHEN concat('0x', substr(sha256(doc_id::VARCHAR), 1, 16))::UBIGINT % 7 = 0 THEN 'eval' ELSE 'train' END AS split,
-               count(*) AS n
-        FROM documents GROUP BY ALL""",
-    "round_robin_quota": """
-        WITH h AS (
-          SELECT doc_id, source, n_chars AS score,
-                 concat('0x', substr(sha256(doc_id::VARCHAR), 1, 16))::UBIGINT AS tie,
-                 (concat('0x', substr(sha256(source), 1, 16))::UBIGINT % 1000)::BIGINT AS turn
-          FROM documents),
+    "hash_split": f"SELECT lang, source, {_SPLIT} AS split, count(*) AS n FROM documents GROUP BY ALL",
+    "round_robin_quota": f"""
+        WITH h AS (SELECT doc_id, source, n_chars AS score, {_H} AS tie, ({HASH_SQL.format('source')} % 1000)::BIGINT AS turn FROM documents),
         c AS (SELECT *, CASE WHEN tie % 7 = 0 THEN 'eval' ELSE 'train' END AS split FROM h),
         r AS (SELECT *, row_number() OVER (PARTITION BY split, source ORDER BY score DESC, tie) AS round FROM c),
         q AS (SELECT *, row_number() OVER (PARTITION BY split ORDER BY round, turn, source) AS place FROM r)
         SELECT split, source, doc_id, score FROM q WHERE place <= 40""",
+    "balanced_quota": f"""
+        WITH c AS (SELECT {_SPLIT} AS split, source, doc_id, n_chars AS score FROM documents),
+        k AS (SELECT *, row_number() OVER (PARTITION BY split, source ORDER BY score DESC, doc_id) - 1 AS k FROM c),
+        a AS (SELECT split, source, doc_id, score FROM k WHERE split = 'eval' ORDER BY k, k, score DESC, doc_id LIMIT 30),
+        g AS (SELECT source, count(*) AS g FROM a GROUP BY source),
+        b AS (SELECT split, k.source, doc_id, score FROM k LEFT JOIN g ON k.source = g.source WHERE split = 'train' ORDER BY coalesce(g, 0) + k, k, score DESC, doc_id LIMIT 30)
+        SELECT * FROM a UNION ALL SELECT * FROM b""",
+    "topoff_quota": f"""
+        WITH r AS (SELECT {_SPLIT} AS split, source, doc_id, n_chars AS score, {_KEY} AS chunk FROM documents),
+        s0 AS (SELECT * FROM r WHERE {HASH_SQL.format("doc_id::VARCHAR || '::seed'")} % 97 = 0 ORDER BY score DESC, doc_id LIMIT 8),
+        {_top_off_sql('s1', 's0', 'eval')}, {_top_off_sql('s2', 's1', 'train')}
+        SELECT split, source, doc_id, score FROM s2""",
+    "labelled_partition": """SELECT lang, CASE WHEN quality = 1 THEN 'approved' WHEN quality = 0 THEN 'rejected' ELSE 'unreviewed' END AS part, count(*) AS n
+        FROM documents LEFT JOIN (SELECT doc_id, max(quality) AS quality FROM labels GROUP BY doc_id) USING (doc_id) GROUP BY ALL""",
+    "split_leakage": f"""
+        WITH k AS (SELECT lang, {_KEY} AS key, max({_SPLIT} = 'eval') AS e, max({_SPLIT} = 'train') AS t FROM documents GROUP BY ALL)
+        SELECT lang, count(*) FILTER (WHERE e) AS n_eval, count(*) FILTER (WHERE t) AS n_train, count(*) FILTER (WHERE e AND t) AS n_shared FROM k GROUP BY lang""",
+    "curation_export": f"""
+        WITH r AS (SELECT doc_id, lang, source, n_chars, {_SPLIT} AS split, {_KEY} AS key, {_H} AS tie, ({HASH_SQL.format('source')} % 1000)::BIGINT AS turn
+                   FROM documents WHERE doc_id IN (SELECT doc_id FROM labels WHERE quality = 1) AND length(trim(text)) >= 80),
+        o AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY key ORDER BY split, doc_id) AS n FROM r) WHERE n = 1),
+        d AS (SELECT *, row_number() OVER (PARTITION BY split, lang, source ORDER BY n_chars DESC, tie) AS round FROM o),
+        q AS (SELECT *, row_number() OVER (PARTITION BY split, lang ORDER BY round, turn, source) AS place FROM d)
+        SELECT split, lang, source, doc_id, n_chars FROM q WHERE place <= 20""",
 }
