@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 # Elements of HTML.
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 BLOCKS = {"p", "div", "section", "article", "main", "body", "html", "header", "footer", "aside", "ul", "ol", "li", "table", "tr", "td", "th", "thead", "tbody", "tfoot", "pre", "blockquote", "h1", "h2", "h3", "h4", "h5", "h6", "hr", "dl", "dt", "dd", "form", "nav", "figure", "address", "center"}
-IMPLIED_END = {"li": {"li"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "option": {"option"}}
+IMPLIED_END = {"li": {"li"}, "tr": {"tr"}, "td": {"td", "th"}, "th": {"td", "th"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "option": {"option"}}
 SKIPPED = {"script", "style", "nav", "head"}
 
 

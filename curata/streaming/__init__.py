@@ -1,0 +1 @@
+"""Incremental curation with Structured Streaming."""
