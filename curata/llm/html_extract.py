@@ -15,7 +15,8 @@ Vectors are compared by hashes that add up (exclusive or of a hash of page and
 number), so a host of any size is aggregated in parts and no task holds a host.
 
 A null html counts as empty and gives an empty text, and a null URL belongs to the
-empty host. Repeated rows are extracted alike.
+empty host. Repeated rows are extracted alike. ``text`` and ``n_chars`` take the
+place of columns of these names.
 """
 
 from __future__ import annotations
@@ -28,6 +29,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from curata.llm.common import table, written
 from curata.llm.url_filter import host_of
@@ -45,7 +47,7 @@ BLOCK = set(
     "address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre search section select summary table tbody td tfoot th thead tr ul head title".split()
 )
 CLOSES_P = BLOCK - set("body button caption dd dt head html legend li optgroup option tbody td tfoot th thead title tr".split())
-SAME_CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "thead": set(), "tbody": {"tr", "td", "th"}}
+SAME_CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "thead": set(), "tbody": {"tr"}}
 DROPPED = set("nav header footer aside form head title noscript template svg math button select option textarea iframe object canvas audio video dialog menu label input".split())
 DROPPED_NAMES = set(
     "ad ads adv advert advertisement advertising adsense banner sponsor sponsored promo promotion nav navbar navigation menu breadcrumb breadcrumbs sidebar sidenav aside header footer masthead topbar toolbar cookie cookies consent gdpr notice notices notification alert popup modal overlay comment comments comments-area disqus respond reply replies share sharing social related recommended newsletter subscribe subscription signup login search widget pagination pager copyright skip".split()
@@ -255,11 +257,11 @@ def _extracting(get):
 
 def extract(pages: DataFrame, url: str = "url", html: str = "html", keep: list[str] | None = None) -> DataFrame:
     """``pages`` with ``text`` and ``n_chars`` in place of the html."""
-    keep = [c for c in pages.columns if c != html] if keep is None else keep
+    keep = [c for c in (pages.columns if keep is None else keep) if c != html and c.lower() not in ("text", "n_chars")]
     found = written(templates(pages, url, html), "templates")
     size = found.agg(F.sum(F.length("host") + 20 * F.size("fixed_text") + 16)).first()[0] or 0
     source = pages.select(*(F.col(f"`{c}`") for c in keep), host_of(F.col(url)).alias("__host"), F.coalesce(F.col(html).cast("string"), F.lit("")).alias("__html"))
-    schema = ", ".join(f"`{c}` {pages.schema[c].dataType.simpleString()}" for c in keep) + ", text string, n_chars long"
+    schema = T.StructType([*(pages.schema[c] for c in keep), T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())])
     if size <= BROADCAST_BYTES:
         sent = pages.sparkSession.sparkContext.broadcast({r.host: (r.main_rank, frozenset(r.fixed_text)) for r in found.toLocalIterator()})
         empty = (None, frozenset())

@@ -19,7 +19,8 @@ line (by document id, then line number; removed or not) is equal or one edit
 4. The edit distance between each line and the earliest partner is verified.
 
 Nulls count as empty texts. Rows that share a document id are one document: a
-line equal in place and content is the same occurrence. Texts keep the
+line equal in place and content is the same occurrence. Rows without an id are
+one document too, which comes before all others. Texts keep the
 untouched form of the lines that stay; a text may become empty.
 """
 
@@ -79,7 +80,7 @@ def candidates(lines: DataFrame) -> DataFrame:
 def with_lines(found: DataFrame, docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """``found`` with the compared line, read again from its first occurrence."""
     wanted = found.groupBy(F.col("first.doc").alias("__doc")).agg(F.collect_list(F.struct("h1", "h2", "first", "head", "tail")).alias("__wanted"))
-    there = docs.select(F.col(doc_id).alias("__doc"), text_or_empty(text).alias("__text")).join(wanted, "__doc")
+    there = docs.select(F.col(doc_id).alias("__id"), text_or_empty(text).alias("__text")).join(wanted, F.col("__id").eqNullSafe(F.col("__doc")))
     rows = there.select(F.split("__text", "\n").alias("lines"), F.explode("__wanted").alias("w"))
     rows = rows.select("w.*", compared(F.get("lines", F.col("w.first.pos"))).alias("line"))
     h1, h2 = _hashes(F.col("line"))
@@ -174,7 +175,7 @@ def _line_key(line: Column, pos: Column) -> Column:
 def remove_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` without the lines that go; all rows and columns stay."""
     kept = staying(docs, doc_id, text).select(F.col("doc").alias("__doc"), F.col("kept").alias("__kept"))
-    joined = docs.join(kept, F.col(doc_id) == F.col("__doc"), "left")
+    joined = docs.join(kept, F.col(doc_id).eqNullSafe(F.col("__doc")), "left")
     lines = F.split(text_or_empty(text), "\n")
     keys = F.transform(lines, _line_key)
     gone = F.array_except(F.filter("__keys", lambda k: k.isNotNull()), F.coalesce("__kept", F.array().cast("array<bigint>")))
@@ -189,7 +190,7 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     lines = F.split(text_or_empty("text"), "\n")
     keys = docs.select("doc_id", F.size(lines).alias("n_lines"), F.transform(lines, _line_key).alias("keys"))
-    joined = keys.join(staying(docs, "doc_id", "text"), F.col("doc_id") == F.col("doc"), "left")
+    joined = keys.join(staying(docs, "doc_id", "text"), F.col("doc_id").eqNullSafe(F.col("doc")), "left")
     gone = F.array_except(F.filter("keys", lambda k: k.isNotNull()), F.coalesce("kept", F.array().cast("array<bigint>")))
     places = F.transform(gone, lambda k: F.array_position("keys", k) - 1)
     return joined.select("doc_id", F.col("n_lines").cast("long").alias("n_lines"), F.size(gone).cast("long").alias("n_removed"), F.array_join(places.cast("array<string>"), ",").alias("removed_lines"))

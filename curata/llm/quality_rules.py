@@ -13,7 +13,8 @@ rule (too few words, or half of the words in repeated windows).
 
 Nulls count as empty texts (which fail the base rule); a null language or source
 is a group of its own. Repeated rows are judged alike and each is kept. Columns of
-the input pass through; the names of the new ones must be free.
+the input pass through; a new one takes the place of one of its name. An empty
+table has no thresholds and no rows.
 """
 
 from __future__ import annotations

@@ -14,7 +14,8 @@ a spanning forest of the block before they leave the task, so that a dense group
 sends no more links than it has members.
 
 Nulls and texts without words have fingerprint zero and link like any other.
-Repeated rows share their fingerprint and component.
+Repeated rows share their fingerprint and component. A row without an id is in
+no group: its component is null, and it stays.
 """
 
 from __future__ import annotations
@@ -186,17 +187,22 @@ def link_fingerprints(nodes: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFra
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(``doc_id``, ``fp``, ``component_id``) for every row of ``docs``."""
     marked = written(with_fingerprints(docs.select(doc_id, text), text, [doc_id]), "fingerprints")
-    nodes = marked.groupBy("fp").agg(F.min(doc_id).alias("node"))
+    nodes = marked.where(F.col(doc_id).isNotNull()).groupBy("fp").agg(F.min(doc_id).alias("node"))
     roots = components(link_fingerprints(written(nodes, "fingerprint-nodes")))
     named = nodes.join(roots, "node", "left").select("fp", F.coalesce("root", "node").alias("component_id"))
-    return marked.join(named, "fp").select(doc_id, "fp", "component_id")
+    found = marked.join(named, "fp", "left")
+    return found.select(doc_id, "fp", F.when(F.col(doc_id).isNotNull(), F.col("component_id")).alias("component_id"))
 
 
 def keep_first(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One document of each component, the one with the smallest id, with the columns of ``docs``."""
-    firsts = near_duplicates(docs, doc_id, text).select(F.col("component_id").alias("__first")).distinct()
+    """One document of each component, the one with the smallest id, with the columns of ``docs``.
+
+    Rows that share id and text are one; rows without an id stay.
+    """
+    firsts = near_duplicates(docs, doc_id, text).where("component_id is not null").select(F.col("component_id").alias("__first")).distinct()
     kept = docs.join(firsts, F.col(doc_id) == F.col("__first"), "left_semi")
-    return kept.dropDuplicates([doc_id])
+    once = kept.withColumn("__same", F.xxhash64(F.col(f"`{text}`"))).dropDuplicates([doc_id, "__same"]).drop("__same")
+    return once.unionByName(docs.where(F.col(doc_id).isNull()))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

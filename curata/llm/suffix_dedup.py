@@ -223,7 +223,8 @@ def anchor_rows(texts: DataFrame, length: int = LENGTH) -> DataFrame:
             ids, all_texts = batch.column(0).to_numpy(), batch.column(1).to_pylist()
             for a, b in blocks(all_texts):
                 owner, h, _, _, _ = block_anchors([t.encode() for t in all_texts[a:b]], length)
-                held.append((h, ids[a:b][owner]))
+                if len(h):
+                    held.append((h, ids[a:b][owner]))
                 size += len(h)
                 if size > TASK_ANCHORS:
                     yield from out()
@@ -254,6 +255,8 @@ def shared_anchors(rows: DataFrame) -> DataFrame:
         if not hs:
             return
         h, r = np.concatenate(hs), np.concatenate(ds)
+        if not len(h):
+            return
         order = np.argsort(h, kind="stable")
         h, r = h[order], r[order]
         start = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])

@@ -11,8 +11,7 @@ for each task, which hold the counts over all documents of the pre-tokens that
 are frequent anywhere. The table affects speed only.
 
 Nulls and empty texts have no bytes and no tokens. Repeated rows are counted
-again. ``n_bytes`` and ``n_tokens`` replace no column of the input: the names
-must be free.
+again. ``n_bytes`` and ``n_tokens`` take the place of columns of these names.
 """
 
 from __future__ import annotations

@@ -8,7 +8,7 @@ without a shuffle.
 
 A null URL, or one without ``://``, has an empty host and path; no rule fits it
 and the model's intercept decides (the table calls it ordinary). Repeated rows are judged alike. New columns
-must not clash with those kept.
+take the place of columns of their names.
 """
 
 from __future__ import annotations
