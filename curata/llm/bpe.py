@@ -8,8 +8,8 @@ search in the sorted pair keys, and merges the lowest-ranked pair of every word,
 left to right. A worker keeps what it has encoded in a cache of bounded size.
 
 Nulls count as empty texts, which have no tokens and decode to an empty text.
-Repeated rows are encoded again. Columns of the input pass through; the names
-of the new columns must be free.
+Repeated rows are encoded again. Columns of the input pass through; a new column
+takes the place of one of its name.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 from curata.llm.common import map_texts, table, worker_cache
 
 #: White-space-delimited strings that a worker remembers before it starts afresh.
-CACHE_ENTRIES = 500_000
+CACHE_ENTRIES = 200_000
 
 
 def byte_symbols() -> list[str]:

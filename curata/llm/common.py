@@ -7,9 +7,10 @@ import shutil
 import sys
 import tempfile
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -54,14 +55,23 @@ def text_or_empty(col: str = "text") -> Column:
 
 def blocks(texts: list[str], limit: int = BLOCK_CHARS) -> Iterator[tuple[int, int]]:
     """Ranges of ``texts`` of at most ``limit`` characters together, or of one text."""
-    start = size = 0
-    for i, t in enumerate(texts):
-        if i > start and size + len(t) > limit:
-            yield start, i
-            start, size = i, 0
-        size += len(t)
-    if start < len(texts):
-        yield start, len(texts)
+    return _ranges(map(len, texts), limit)
+
+
+def column_blocks(column: pa.Array, limit: int = BLOCK_CHARS) -> Iterator[tuple[int, int]]:
+    """Ranges of a string column of at most ``limit`` bytes together, or of one row; nothing is converted."""
+    return _ranges(pc.fill_null(pc.binary_length(column), 0).to_pylist(), limit)
+
+
+def _ranges(sizes: Iterable[int], limit: int) -> Iterator[tuple[int, int]]:
+    start = size = i = 0
+    for i, n in enumerate(sizes, 1):
+        if i - 1 > start and size + n > limit:
+            yield start, i - 1
+            start, size = i - 1, 0
+        size += n
+    if start < i:
+        yield start, i
 
 
 def worker_cache(key: tuple, make: Callable[[], object]):
@@ -83,24 +93,23 @@ def map_texts(
 
     ``make`` runs once in each task and returns a function from texts to the
     arrays of ``columns``. Columns of ``df`` in ``keep`` (default: all) pass
-    through untouched.
+    through untouched; a new column takes the place of one of its name.
     """
-    kept = list(df.columns if keep is None else keep)
-    if clash := {n for n, _ in columns} & set(kept):
-        raise ValueError(f"columns exist already: {sorted(clash)}")
-    fields = [f for f in df.schema.fields if f.name in kept]
+    new = {n.lower() for n, _ in columns}
+    fields = [f for f in df.schema.fields if (keep is None or f.name in keep) and f.name.lower() not in new]
     schema = T.StructType([*fields, *(T.StructField(n, t) for n, t in columns)])
-    source = df.select(*[F.col(f"`{f.name}`") for f in fields], F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("__text"))
     names = [n for n, _ in columns]
     count = len(fields)
+    place = next((i for i, f in enumerate(fields) if f.name == text and f.dataType == T.StringType()), count)
+    extra = [F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("__text")] if place == count else []  # the text travels once
+    source = df.select(*[F.col(f"`{f.name}`") for f in fields], *extra)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
         for batch in batches:
-            sizes = batch.column(count)
-            texts = sizes.to_pylist()
-            for a, b in blocks(texts):
-                made = work(texts[a:b])
+            column = batch.column(place)
+            for a, b in column_blocks(column):
+                made = work([t or "" for t in column.slice(a, b - a).to_pylist()])
                 yield pa.RecordBatch.from_arrays([*(c.slice(a, b - a) for c in batch.columns[:count]), *(made[n] for n in names)], names=[*(f.name for f in fields), *names])
 
     return source.mapInArrow(run, schema)
