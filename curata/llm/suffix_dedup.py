@@ -35,15 +35,20 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from curata.llm.common import blocks, table, text_or_empty
+from curata.llm.common import column_blocks, table, text_or_empty
 
 LENGTH, ANCHOR = 50, 16
 #: Anchors that a task gathers before it hands them on.
 TASK_ANCHORS = 2_000_000
+#: Bytes of distinct segments that a task gathers before it hands them on.
+TASK_SEGMENTS = 60_000_000
+#: Buckets of anchors for each partition: each bucket gets its suffix array.
+BUCKETS = 4
 
 
 # -- anchors ----------------------------------------------------------------
@@ -111,7 +116,7 @@ def _words(raw: np.ndarray, length: int) -> list[np.ndarray]:
     return [word[o : o + len(raw)] for o in [*range(0, length - 7, 8), *([length - 8] if length % 8 else [])]]
 
 
-def suffix_array(raw: np.ndarray, length: int = LENGTH) -> np.ndarray:
+def suffix_array(raw: np.ndarray, length: int = LENGTH, words: list[np.ndarray] | None = None) -> np.ndarray:
     """The places of ``raw`` in the order of the ``length`` bytes from there (or more), by two-stage sorting."""
     n = len(raw)
     if n == 0:
@@ -121,8 +126,8 @@ def suffix_array(raw: np.ndarray, length: int = LENGTH) -> np.ndarray:
     larger[-1] = False
     # stage one: sort the others directly, word by word, refining only what is tied
     at = np.flatnonzero(~larger)
-    words = _words(raw, length)
-    order = np.argsort(words[0][at], kind="stable")
+    words = words or _words(raw, length)
+    order = np.argsort(words[0][at])
     at = at[order]
     group = np.cumsum(np.r_[False, words[0][at[1:]] != words[0][at[:-1]]])
     for w in words[1:]:
@@ -132,7 +137,11 @@ def suffix_array(raw: np.ndarray, length: int = LENGTH) -> np.ndarray:
         if not len(t):
             break
         key = w[at[t]]
-        order = np.lexsort((key, group[t]))
+        # by group, then key: the key's rank is the lower half of one number
+        by_key = np.argsort(key)
+        rank = np.empty(len(t), np.int64)
+        rank[by_key] = np.cumsum(np.r_[False, key[by_key[1:]] != key[by_key[:-1]]])
+        order = np.argsort((group[t] << 32) | rank)
         at[t] = at[t[order]]
         key = key[order]
         split = np.zeros(len(at), bool)
@@ -165,12 +174,13 @@ def least_ids(segments: list[bytes], ids: np.ndarray, length: int = LENGTH) -> t
     ends = np.cumsum(sizes)
     raw = np.frombuffer(b"".join(segments), np.uint8)
     windows = np.concatenate([[0], np.cumsum(sizes - length + 1)])
-    place = suffix_array(raw, length)
-    owner = np.searchsorted(ends, place, "right")
+    words = _words(raw, length)
+    place = suffix_array(raw, length, words)
+    owner = np.repeat(np.arange(len(segments)), sizes)[place]
     inside = place + length <= ends[owner]
     place, owner = place[inside], owner[inside]
     same = np.ones(max(0, len(place) - 1), bool)  # common prefix of length or more with the next
-    for w in _words(raw, length):
+    for w in words:
         same &= w[place[1:]] == w[place[:-1]]
     start = np.flatnonzero(np.r_[True, ~same])
     least = np.minimum.reduceat(ids[owner], start)
@@ -184,6 +194,11 @@ def _texts(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     return docs.select(F.col(doc_id).cast("long").alias("doc"), text_or_empty(text).alias("text"))
 
 
+def short(h: np.ndarray) -> bytes:
+    """32 bits of each anchor: enough to mark them in a document, as a mark too many costs work only."""
+    return (h.view(np.uint64) & np.uint64(0xFFFFFFFF)).astype("<u4").tobytes()
+
+
 def anchor_rows(texts: DataFrame, length: int = LENGTH) -> DataFrame:
     """(``h``, ``doc``, ``own``): each distinct anchor of a task with its document (null: several); documents' anchors that are shared in the task as bytes."""
 
@@ -214,15 +229,15 @@ def anchor_rows(texts: DataFrame, length: int = LENGTH) -> DataFrame:
             cut = np.flatnonzero(np.r_[True, d[1:] != d[:-1], True]) if len(d) else np.zeros(1, np.int64)
             for a in range(0, len(cut) - 1, 2_000):
                 c = cut[a : a + 2_001]
-                owns = [h[i:j].tobytes() for i, j in zip(c[:-1].tolist(), c[1:].tolist(), strict=True)]
+                owns = [short(h[i:j]) for i, j in zip(c[:-1].tolist(), c[1:].tolist(), strict=True)]
                 docs_ = d[c[:-1]]
                 spread = (docs_.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)).view(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(spread), pa.array(docs_), pa.array(owns, pa.binary())], names=names)
 
         for batch in batches:
-            ids, all_texts = batch.column(0).to_numpy(), batch.column(1).to_pylist()
-            for a, b in blocks(all_texts):
-                owner, h, _, _, _ = block_anchors([t.encode() for t in all_texts[a:b]], length)
+            ids, column = batch.column(0).to_numpy(), batch.column(1).cast(pa.binary())
+            for a, b in column_blocks(column):
+                owner, h, _, _, _ = block_anchors(column.slice(a, b - a).to_pylist(), length)
                 if len(h):
                     held.append((h, ids[a:b][owner]))
                 size += len(h)
@@ -270,152 +285,179 @@ def shared_anchors(rows: DataFrame) -> DataFrame:
         cut = np.flatnonzero(np.r_[True, d[1:] != d[:-1], True]) if len(d) else np.zeros(1, np.int64)
         for a in range(0, len(cut) - 1, 20_000):
             c = cut[a : a + 20_001]
-            yield pa.RecordBatch.from_arrays([pa.array(d[c[:-1]]), pa.array([h[i:j].tobytes() for i, j in zip(c[:-1].tolist(), c[1:].tolist(), strict=True)], pa.binary())], names=["doc", "own"])
+            yield pa.RecordBatch.from_arrays([pa.array(d[c[:-1]]), pa.array([short(h[i:j]) for i, j in zip(c[:-1].tolist(), c[1:].tolist(), strict=True)], pa.binary())], names=["doc", "own"])
 
     return rows.repartition("h").mapInArrow(run, "doc long, own binary")
 
 
+def packed(texts: DataFrame) -> DataFrame:
+    """(``doc``, ``z``): the texts' UTF-8, compressed, for the shuffle that several joins share."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        press = zstandard.ZstdCompressor(level=1).compress
+        for batch in batches:
+            column = batch.column(1).cast(pa.binary())
+            for a, b in column_blocks(column):
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(map(press, column.slice(a, b - a).to_pylist()), pa.binary(), size=b - a)], names=["doc", "z"])
+
+    return texts.mapInArrow(run, "doc long, z binary")
+
+
+def _unpacked(column: pa.Array) -> list[bytes]:
+    open_ = zstandard.ZstdDecompressor().decompress
+    return [open_(z) for z in column.to_pylist()]
+
+
 def _segments(batch: pa.RecordBatch, length: int) -> Iterator[tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]]:
-    """From rows (doc, text, own): segments of shared anchors, their anchors, documents and first windows (in bytes of the text)."""
+    """From rows (doc, z, own): segments of shared anchors, their anchors, documents and first windows (in bytes of the text)."""
     kept = batch.filter(batch.column(2).is_valid())
-    ids, texts, owns = kept.column(0).to_numpy(), kept.column(1).to_pylist(), kept.column(2).to_pylist()
-    for a, b in blocks(texts):
-        raws = [t.encode() for t in texts[a:b]]
+    ids = kept.column(0).to_numpy()
+    for a, b in column_blocks(kept.column(1), 800_000):
+        raws = _unpacked(kept.column(1).slice(a, b - a))
         owner, h, first, last, raw = block_anchors(raws, length)
         begins = np.cumsum([0, *(len(r) for r in raws)])
-        known = [np.frombuffer(b"".join(o), np.uint64) for o in owns[a:b]]
+        known = [np.frombuffer(b"".join(o), "<u4") for o in kept.column(2).slice(a, b - a).to_pylist()]
         # (text, anchor) pairs that are shared: both numbered and compared at once
         kt = np.repeat(np.arange(len(known)), [len(x) for x in known])
-        kh = np.concatenate([np.zeros(0, np.uint64), *known])
-        mix = lambda t, x: (x ^ (t.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))) * np.uint64(0xC2B2AE3D27D4EB4F)
-        hit = np.isin(mix(owner, h), mix(kt, kh))
+        kh = np.concatenate([np.zeros(0, "<u4"), *known])
+        pair = lambda t, x: (t.astype(np.uint64) << np.uint64(32)) | (x & np.uint64(0xFFFFFFFF))
+        hit = np.isin(pair(owner, h), pair(kt, kh.astype(np.uint64)))
         owner, h, first, last = owner[hit], h[hit], first[hit], last[hit]
         data = raw.tobytes()
         segments = [data[i:j] for i, j in zip(first.tolist(), (last + length).tolist(), strict=True)]
         yield segments, h, ids[a:b][owner], first - begins[owner]
 
 
-def segment_rows(marked: DataFrame, length: int = LENGTH) -> DataFrame:
-    """(``h``, ``sid``, ``low``, ``high``, ``segment``): the distinct segments of a task with their least and greatest document."""
+def segment_rows(marked: DataFrame, buckets: int, length: int = LENGTH) -> DataFrame:
+    """(``bucket``, ``blob``): the distinct segments of a task by the bucket of their anchor, with their least and greatest document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[bytes, list[int]] = {}
         size = 0
 
         def out() -> Iterator[pa.RecordBatch]:
-            items = list(seen.items())
+            if not seen:
+                return
+            segments, values = list(seen), np.array(list(seen.values()), np.int64)
             seen.clear()
-            for a in range(0, len(items), 20_000):
-                part = items[a : a + 20_000]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([v[0] for _, v in part], pa.int64()), pa.array([sid(s) for s, _ in part], pa.int64()), pa.array([v[1] for _, v in part], pa.int64()), pa.array([v[2] for _, v in part], pa.int64()), pa.array([s for s, _ in part], pa.binary())],
-                    names=["h", "sid", "low", "high", "segment"],
-                )
+            order = np.argsort(values[:, 0], kind="stable")
+            cut = np.flatnonzero(np.r_[True, np.diff(values[order, 0]) != 0, True])
+            press = zstandard.ZstdCompressor(level=9).compress
+            for i, j in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
+                part = order[i:j]
+                group = [segments[k] for k in part.tolist()]
+                head = np.array([len(group)], "<i8").tobytes() + values[part, 1].astype("<i8").tobytes() + values[part, 2].astype("<i8").tobytes() + np.array([len(x) for x in group], "<i4").tobytes()
+                blob = press(head + b"".join(group))
+                yield pa.RecordBatch.from_arrays([pa.array([int(values[part[0], 0])], pa.int64()), pa.array([blob], pa.binary())], names=["bucket", "blob"])
 
         for batch in batches:
             for segments, h, docs_, _ in _segments(batch, length):
-                for s, x, d in zip(segments, h.view(np.int64).tolist(), docs_.tolist(), strict=True):
+                for s, x, d in zip(segments, ((h >> np.uint64(20)) % np.uint64(buckets)).tolist(), docs_.tolist(), strict=True):
                     v = seen.get(s)
                     if v is None:
                         seen[s] = [x, d, d]
-                        size += len(s) + 150
+                        size += len(s)
                     elif d < v[1]:
                         v[1] = d
                     elif d > v[2]:
                         v[2] = d
-                if size > 100_000_000:
+                if size > TASK_SEGMENTS:
                     yield from out()
                     size = 0
         yield from out()
 
-    return marked.mapInArrow(run, "h long, sid long, low long, high long, segment binary")
+    return marked.mapInArrow(run, "bucket long, blob binary")
+
 
+def _opened(blob: bytes) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    raw = zstandard.ZstdDecompressor().decompress(blob)
+    n = int(np.frombuffer(raw, "<i8", 1)[0])
+    low, high, sizes = np.frombuffer(raw, "<i8", n, 8), np.frombuffer(raw, "<i8", n, 8 + 8 * n), np.frombuffer(raw, "<i4", n, 8 + 16 * n)
+    ends = 8 + 20 * n + np.cumsum(sizes, dtype=np.int64)
+    return [raw[a:b] for a, b in zip((ends - sizes).tolist(), ends.tolist(), strict=True)], low, high
 
-def sid(segment: bytes) -> int:
-    x = xxhash.xxh3_64_intdigest(segment)
-    return x - (1 << 64) if x >> 63 else x
+
+def sids(segments: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """96 bits of each segment: a long to join by and an int to compare."""
+    raw = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, segments)), "<i8").reshape(-1, 2)
+    return raw[:, 0].astype(np.int64), (raw[:, 1] & 0x7FFFFFFF).astype(np.int64)
 
 
 def occurrence_rows(marked: DataFrame, length: int = LENGTH) -> DataFrame:
-    """(``h``, ``sid``, ``doc``, ``at``): each segment of each document, at its first byte."""
+    """(``key``, ``doc``, ``at``): each segment of each document; ``at`` holds its first byte and, above, the rest of its key."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for segments, h, docs_, at in _segments(batch, length):
-                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array([sid(s) for s in segments], pa.int64()), pa.array(docs_), pa.array(at.astype(np.int32))], names=["h", "sid", "doc", "at"])
+            for segments, _, docs_, at in _segments(batch, length):
+                key, rest = sids(segments)
+                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(docs_), pa.array((rest << 32) | at)], names=["key", "doc", "at"])
 
-    return marked.mapInArrow(run, "h long, sid long, doc long, at int")
+    return marked.mapInArrow(run, "key long, doc long, at long")
 
 
 def window_ids(segments: DataFrame, length: int = LENGTH) -> DataFrame:
-    """(``h``, ``sid``, ``runs``) for segments that may lose windows: runs of windows as int32 lengths and int64 least ids, in bytes."""
+    """(``key``, ``rest``, ``sizes``, ``ids``) for segments that may lose windows: runs of windows (uint16) and their least ids (int64), as bytes."""
+
+    def bucket(blobs: list[bytes]) -> Iterator[pa.RecordBatch]:
+        seen: dict[bytes, int] = {}
+        lows, highs, rows = [], [], []
+        for blob in blobs:
+            group, low, high = _opened(blob)
+            rows += [seen.setdefault(x, len(seen)) for x in group]
+            lows.append(low)
+            highs.append(high)
+        low, high = np.full(len(seen), np.iinfo(np.int64).max), np.full(len(seen), np.iinfo(np.int64).min)
+        np.minimum.at(low, rows, np.concatenate(lows))
+        np.maximum.at(high, rows, np.concatenate(highs))
+        segs = list(seen)
+        least, at = least_ids(segs, low, length)
+        owner = np.repeat(np.arange(len(segs)), np.diff(at))
+        useful = np.flatnonzero(np.minimum.reduceat(least, at[:-1]) < high)
+        begin = np.flatnonzero(np.r_[True, (least[1:] != least[:-1]) | (owner[1:] != owner[:-1])])
+        run_length, run_id = np.diff(np.r_[begin, len(least)]).astype("<u2").tobytes(), least[begin].astype("<i8").tobytes()
+        edge = np.searchsorted(owner[begin], np.arange(len(segs) + 1)).tolist()
+        picked = useful.tolist()
+        for i in range(0, len(picked), 20_000):
+            part = picked[i : i + 20_000]
+            sizes = [run_length[2 * edge[k] : 2 * edge[k + 1]] for k in part]
+            ids = [run_id[8 * edge[k] : 8 * edge[k + 1]] for k in part]
+            key, rest = sids([segs[k] for k in part])
+            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(rest.astype(np.int32)), pa.array(sizes, pa.binary()), pa.array(ids, pa.binary())], names=["key", "rest", "sizes", "ids"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: dict[bytes, list[int]] = {}
+        held: dict[int, list[bytes]] = {}
         for batch in batches:
-            for x, s, low, high, segment in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
-                v = seen.get(segment)
-                if v is None:
-                    seen[segment] = [x, s, low, high]
-                else:
-                    v[2], v[3] = min(v[2], low), max(v[3], high)
-        if not seen:
-            return
-        segs, values = list(seen), np.array(list(seen.values()), np.int64)
-        order = np.argsort(values[:, 0], kind="stable")
-        start = 0
-        while start < len(order):  # anchors stay together; bounded pieces keep the arrays small
-            end = min(len(order), start + 60_000)
-            while end < len(order) and values[order[end], 0] == values[order[end - 1], 0]:
-                end += 1
-            part = order[start:end]
-            start = end
-            least, at = least_ids([segs[i] for i in part.tolist()], values[part, 2], length)
-            owner = np.repeat(np.arange(len(part)), np.diff(at))
-            useful = np.flatnonzero(np.minimum.reduceat(least, at[:-1]) < values[part, 3])
-            begin = np.flatnonzero(np.r_[True, (least[1:] != least[:-1]) | (owner[1:] != owner[:-1])])
-            run_length, run_id, run_owner = np.diff(np.r_[begin, len(least)]).astype("<i4"), least[begin].astype("<i8"), owner[begin]
-            edge = np.searchsorted(run_owner, np.arange(len(part) + 1))
-            runs = [run_length[edge[i] : edge[i + 1]].tobytes() + run_id[edge[i] : edge[i + 1]].tobytes() for i in useful.tolist()]
-            got = values[part[useful]]
-            yield pa.RecordBatch.from_arrays([pa.array(got[:, 0]), pa.array(got[:, 1]), pa.array(runs, pa.binary())], names=["h", "sid", "runs"])
-
-    return segments.repartition("h").mapInArrow(run, "h long, sid long, runs binary")
-
-
-def removed_spans(texts: DataFrame, length: int = LENGTH) -> DataFrame:
-    """(``doc``, ``spans``): pieces of what a document loses, as int32 begins then ends, in bytes; several rows for a document."""
+            for n, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                held.setdefault(n, []).append(blob)
+        while held:
+            yield from bucket(held.popitem()[1])
+
+    return segments.repartition("bucket").mapInArrow(run, "key long, rest int, sizes binary, ids binary")
+
+
+def removed_spans(texts: DataFrame, z: DataFrame, length: int = LENGTH) -> DataFrame:
+    """(``doc``, ``span``): pieces of what a document loses, a begin (upper 32 bits) and an end in bytes."""
     own = shared_anchors(anchor_rows(texts, length)).groupBy("doc").agg(F.collect_list("own").alias("own"))
-    marked = texts.join(own.hint("shuffle_hash"), "doc", "left").select("doc", "text", "own")
-    answers = window_ids(segment_rows(marked, length), length)
-    hits = occurrence_rows(marked, length).join(answers, ["h", "sid"]).select("doc", "at", "runs")
+    marked = z.join(own.hint("shuffle_hash"), "doc", "left").select("doc", "z", "own")
+    buckets = BUCKETS * int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    answers = window_ids(segment_rows(marked, buckets, length), length)
+    hits = occurrence_rows(marked, length).join(answers, "key").where(F.shiftright("at", 32) == F.col("rest")).select("doc", "at", "sizes", "ids")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            docs_, begins, ends = [], [], []
-            for d, at, runs in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                n = len(runs) // 12
-                sizes, ids = np.frombuffer(runs, "<i4", n), np.frombuffer(runs, "<i8", n, 4 * n)
-                j = at
-                for size, least in zip(sizes.tolist(), ids.tolist(), strict=True):
-                    if least < d:
-                        docs_.append(d)
-                        begins.append(j)
-                        ends.append(j + size - 1 + length)
-                    j += size
-            if not docs_:
+            if not batch.num_rows:
                 continue
-            d, b, e = np.array(docs_, np.int64), np.array(begins, np.int64), np.array(ends, np.int64)
-            order = np.lexsort((b, d))
-            d, b, e = d[order], b[order], e[order]
-            cut = np.flatnonzero(np.r_[True, d[1:] != d[:-1], True])
-            spans = []
-            for i, j in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
-                x, y = union(b[i:j], e[i:j])
-                spans.append(np.r_[x, y].astype("<i4").tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(d[cut[:-1]]), pa.array(spans, pa.binary())], names=["doc", "spans"])
+            doc, at, sizes_ = batch.column(0).to_numpy(), batch.column(1).to_numpy() & 0xFFFFFFFF, batch.column(2).to_pylist()
+            size, least = np.frombuffer(b"".join(sizes_), "<u2").astype(np.int64), np.frombuffer(b"".join(batch.column(3).to_pylist()), "<i8")
+            count = np.array([len(x) // 2 for x in sizes_], np.int64)
+            row = np.repeat(np.arange(len(doc)), count)
+            start = np.cumsum(size) - size
+            begin = at[row] + start - start[np.cumsum(count) - count][row]
+            hit = least < doc[row]
+            begin, end = begin[hit], (begin + size - 1 + length)[hit]
+            yield pa.RecordBatch.from_arrays([pa.array(doc[row][hit]), pa.array((begin << 32) | end)], names=["doc", "span"])
 
-    return hits.mapInArrow(run, "doc long, spans binary")
+    return hits.mapInArrow(run, "doc long, span long")
 
 
 def union(begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -428,20 +470,19 @@ def union(begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def with_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
-    """(``doc``, ``text``, ``spans``): each document with the pieces it loses (null: none)."""
+    """(``doc``, ``z``, ``spans``): each document, its text compressed, with the pieces it loses (null: none)."""
     texts = _texts(docs, doc_id, text)
-    pieces = removed_spans(texts, length).groupBy("doc").agg(F.collect_list("spans").alias("spans"))
-    return texts.join(pieces.hint("shuffle_hash"), "doc", "left").select("doc", "text", "spans")
+    z = packed(texts)  # dealt out by document once: both joins read the same exchange
+    pieces = removed_spans(texts, z, length).groupBy("doc").agg(F.collect_list("span").alias("spans"))
+    return z.join(pieces.hint("shuffle_hash"), "doc", "left").select("doc", "z", "spans")
 
 
-def cut(raw: bytes, pieces: list[bytes] | None) -> tuple[bytes, list[tuple[int, int]]]:
+def cut(raw: bytes, pieces: list[int] | None) -> tuple[bytes, list[tuple[int, int]]]:
     """What remains of a text, and the maximal runs that go."""
     if not pieces:
         return raw, []
-    arrays = [np.frombuffer(p, "<i4").astype(np.int64).reshape(2, -1) for p in pieces]
-    begin, end = np.concatenate([a[0] for a in arrays]), np.concatenate([a[1] for a in arrays])
-    order = np.argsort(begin, kind="stable")
-    begin, end = union(begin[order], end[order])
+    both = np.sort(np.array(pieces, np.int64))
+    begin, end = union(both >> 32, both & 0xFFFFFFFF)
     spans = list(zip(begin.tolist(), end.tolist(), strict=True))
     at, kept = 0, []
     for a, b in spans:
@@ -459,9 +500,9 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, pieces = batch.column(1).to_pylist(), batch.column(2).to_pylist()
-            for a, b in blocks(texts):
-                raws = [t.encode() for t in texts[a:b]]
+            pieces = batch.column(2).to_pylist()
+            for a, b in column_blocks(batch.column(1), 800_000):
+                raws = _unpacked(batch.column(1).slice(a, b - a))
                 done = [cut(r, p) for r, p in zip(raws, pieces[a:b], strict=True)]
                 ids = batch.column(0).slice(a, b - a)
                 if digests:
