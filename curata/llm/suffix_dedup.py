@@ -395,6 +395,14 @@ def occurrence_rows(marked: DataFrame, length: int = LENGTH) -> DataFrame:
     return marked.mapInArrow(run, "key long, doc long, at long")
 
 
+def run_begins(change: np.ndarray, longest: int = 0xFFFF) -> np.ndarray:
+    """Where runs of windows begin, given whether each differs from the one before; longer runs are split to fit uint16."""
+    begin = np.flatnonzero(np.r_[True, change])
+    parts = -(-np.diff(np.r_[begin, len(change) + 1]) // longest)
+    nth = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
+    return np.repeat(begin, parts) + longest * nth
+
+
 def window_ids(segments: DataFrame, length: int = LENGTH) -> DataFrame:
     """(``key``, ``rest``, ``sizes``, ``ids``) for segments that may lose windows: runs of windows (uint16) and their least ids (int64), as bytes."""
 
@@ -413,7 +421,7 @@ def window_ids(segments: DataFrame, length: int = LENGTH) -> DataFrame:
         least, at = least_ids(segs, low, length)
         owner = np.repeat(np.arange(len(segs)), np.diff(at))
         useful = np.flatnonzero(np.minimum.reduceat(least, at[:-1]) < high)
-        begin = np.flatnonzero(np.r_[True, (least[1:] != least[:-1]) | (owner[1:] != owner[:-1])])
+        begin = run_begins((least[1:] != least[:-1]) | (owner[1:] != owner[:-1]))
         run_length, run_id = np.diff(np.r_[begin, len(least)]).astype("<u2").tobytes(), least[begin].astype("<i8").tobytes()
         edge = np.searchsorted(owner[begin], np.arange(len(segs) + 1)).tolist()
         picked = useful.tolist()

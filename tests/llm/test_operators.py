@@ -384,6 +384,15 @@ def test_suffix_dedup_on_shuffled_pieces(spark):
     assert all(hashlib.sha256(bytes(r.kept)).hexdigest() == got[i][3] and len(r.spans) == got[i][2] for i, r in full.items())
 
 
+def test_suffix_dedup_long_periodic_runs(spark):
+    """Runs of equal windows beyond 65,535, with and without something behind them, several times as long too."""
+    tail = "".join(random.Random(11).choice("bcdefgh ") for _ in range(300))
+    docs = [(1, "a" * 100_000), (2, "a" * 100_000), (3, "xy" * 70_000 + tail), (4, "q" + "xy" * 70_000 + tail), (5, "a" * 140_000 + tail)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: tuple(r)[1:] for r in suffix_dedup.remove_repeats(df, digests=True).collect()}
+    assert got == brute_repeats(docs) and got[2][1] == 100_000
+
+
 def test_suffix_dedup_odd_rows(odd, none):
     out = suffix_dedup.remove_repeats(odd, digests=True)
     assert out.count() == odd.count()
