@@ -4,12 +4,14 @@ A page is a sequence of tokens: start tags, told apart by their path of elements
 and classes, and text blocks. Over the pages of a host each token has an occurrence
 vector, its number in each page. Tokens with the same vector form an equivalence
 class; classes with enough support are valid. The class of tokens that every page
-has exactly once is the root of the template; the other valid classes nest in its
-slots by their paths. Of the root's elements the one that marks the article
-becomes the main slot; what lies in menus, headers, notices and the like is never
-in it, and blocks of text in a valid class outside the main slot are template
-text. What remains in the main slot of a page, block by block, is its text. A
-page whose host has no valid class (one page, say) is judged by its own tokens.
+has exactly once is the root of the template. Of the root's elements the one that
+marks the article (by its tag, name or role) becomes the main slot; what lies in
+menus, headers, notices and the like is never in it. In a page with such a mark the
+blocks of the main slot are its text, whether or not they are in a valid class: the
+mark replaces the deduction there, and text that all pages repeat inside it stays.
+In a page without a mark, blocks of text in a valid class are template text and
+the others remain. Classes are not nested. A page whose host has no valid class
+(one page, say) is judged by its own tokens.
 
 Vectors are compared by hashes that add up (exclusive or of a hash of page and
 number), so a host of any size is aggregated in parts and no task holds a host.
