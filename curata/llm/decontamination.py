@@ -9,9 +9,10 @@ a band that meets the bound goes to verification, a banded alignment of the item
 with that region of the document. Items within the budget of edits are reported.
 
 Characters are compared in lower case with any white space as a space; nothing
-else is normalised. The budget is ``EDIT_RATE`` of an item's length, less if the
-bound would fall below one q-gram; items shorter than q characters must occur
-literally; items without a letter or digit are never reported.
+else is normalised. The budget is ``EDIT_RATE`` of an item's length, rounded down,
+at every length; where that leaves the lemma no q-gram (short items), one of
+budget + 1 pieces of the item must occur literally, and its places are verified.
+Items without a letter or digit are never reported.
 
 The items are broadcast in blocks of at most ``BLOCK_CHARS`` characters, one pass
 over the documents for each, so a benchmark of any size fits. Documents aren't
@@ -31,7 +32,7 @@ from pyspark.sql import types as T
 
 from curata.llm.common import table
 
-Q = 16
+Q = 8
 EDIT_RATE = 0.08
 #: Characters of benchmark items that one broadcast holds (about 30 bytes each in a worker).
 BLOCK_CHARS = 2_000_000
@@ -61,9 +62,9 @@ def grams(text: str, q: int = Q) -> np.ndarray:
     return x
 
 
-def budget(m: int, rate: float = EDIT_RATE, q: int = Q) -> int:
-    """Edits allowed for an item of m characters, such that at least one q-gram must be shared."""
-    return max(0, min(int(m * rate), (m - q) // q))
+def budget(m: int, rate: float = EDIT_RATE) -> int:
+    """Edits allowed for an item of m characters."""
+    return int(m * rate)
 
 
 class Items:
@@ -73,11 +74,12 @@ class Items:
         kept = [(i, normal(t).strip()) for i, t in items]
         kept = [(i, t) for i, t in kept if any(c.isalnum() for c in t)]
         self.q = q
-        self.short = [(i, t) for i, t in kept if len(t) < q]
-        long = [(i, t) for i, t in kept if len(t) >= q]
+        lemma = lambda t: len(t) - q + 1 - budget(len(t), rate) * q >= 1
+        self.short = [(i, t, budget(len(t), rate)) for i, t in kept if not lemma(t)]
+        long = [(i, t) for i, t in kept if lemma(t)]
         self.ids, self.texts = [i for i, _ in long], [t for _, t in long]
-        self.budgets = np.array([budget(len(t), rate, q) for t in self.texts], np.int64)
-        self.bounds = np.array([max(1, len(t) - q + 1 - k * q) for t, k in zip(self.texts, self.budgets.tolist(), strict=True)], np.int64)
+        self.budgets = np.array([budget(len(t), rate) for t in self.texts], np.int64)
+        self.bounds = np.array([len(t) - q + 1 - k * q for t, k in zip(self.texts, self.budgets.tolist(), strict=True)], np.int64)
         g = [grams(t, q) for t in self.texts]
         keys = np.concatenate([np.zeros(0, np.uint64), *g])
         item = np.repeat(np.arange(len(g)), [len(x) for x in g]).astype(np.int64)
@@ -91,7 +93,7 @@ class Items:
     def find(self, text: str) -> list[tuple[object, int, int, int]]:
         """(item id, begin, end, edits) of the items that the text contains; places in characters."""
         text = normal(text)
-        out = [(i, text.find(t), text.find(t) + len(t), 0) for i, t in self.short if t in text]
+        out = [(i, *found) for i, t, k in self.short if (found := by_pieces(t, text, k))]
         x = grams(text, self.q)
         if not len(x) or not self.texts:
             return out
@@ -129,6 +131,23 @@ class Items:
         return out + [(self.ids[i], *v) for i, v in sorted(best.items())]
 
 
+def by_pieces(item: str, text: str, k: int) -> tuple[int, int, int] | None:
+    """The best match of a short item: of its k + 1 pieces the edits leave one untouched."""
+    at = text.find(item)
+    if at >= 0 or k == 0:
+        return (at, at + len(item), 0) if at >= 0 else None
+    best = None
+    cuts = [j * len(item) // (k + 1) for j in range(k + 2)]
+    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+        at = text.find(item[a:b])
+        while at >= 0:
+            found = align(item, text, at - a - k, at - a + k, k)
+            if found and (best is None or found[2] < best[2]):
+                best = found
+            at = text.find(item[a:b], at + 1)
+    return best
+
+
 def align(item: str, text: str, low: int, high: int, k: int) -> tuple[int, int, int] | None:
     """The best match of the whole item near the diagonals ``low``..``high`` of the text, if within ``k`` edits."""
     for d in range(max(low, 0), high + 1):  # without edits

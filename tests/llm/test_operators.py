@@ -319,6 +319,24 @@ def test_decontamination_equals_brute_force(spark, texts):
         assert distance(item, decontamination.normal(texts[d])) <= decontamination.budget(len(item))
 
 
+def test_decontamination_reaches_the_stated_rate():
+    """Items of every length with as many edits as the rate allows, and with one more."""
+    rng = random.Random(12)
+    word = lambda n: "".join(rng.choice("abcdefghijklmnop ") for _ in range(n - 2))
+    items = {m: "x" + word(m) + "y" for m in [*range(5, 60), 81, 100, 150, 233, 400]}
+    index = decontamination.Items(list(items.items()))
+    for m, t in items.items():
+        k = int(m * decontamination.EDIT_RATE)
+        for edits in (k, k + 1):
+            s = list(t)
+            for j in range(edits):  # spread evenly: the fewest q-grams stay
+                s[(2 * j + 1) * m // (2 * edits)] = "#"
+            host = "".join(["Q", *s, "Q"]) if m % 2 else word(300) + "".join(s) + word(200)
+            found = {h[0]: h for h in index.find(host)}
+            assert (distance(t, decontamination.normal(host)) <= k) == (m in found), (m, edits)
+            assert edits > k or found[m][3] <= k
+
+
 def test_decontamination_odd_rows(spark, odd, none):
     bench = spark.createDataFrame([(1, "four five six seven"), (2, None), (3, ""), (4, "..."), (5, "four five six seven"), (None, "x")], "item_id long, text string")
     hits = decontamination.contaminated(odd, bench)
