@@ -8,22 +8,27 @@ that equal windows meet, and each bucket gets a suffix array of its own:
 1. The anchor of a window is its least hashed run of ``ANCHOR`` bytes, so equal
    windows have equal anchors. Each task hands on the distinct anchors it holds.
    An anchor that only one document has settles its windows: nothing equals them.
-2. Documents learn which of their anchors are shared, and cut out their segments:
-   the bytes of the neighbouring windows that have one anchor. Equal segments
-   of a task collapse to one, with the least and the greatest document id.
+2. Documents learn which of their anchors are shared (lists packed by buckets of
+   documents, so a task writes one row for each bucket) and cut out their segments:
+   the bytes of the neighbouring windows that have one anchor. Of the rows of a
+   task that hold a segment, only those with the least document id are open: all
+   windows of the others start in that document, so they go at once.
 3. Each bucket concatenates its distinct segments and sorts their suffixes in two
    stages: suffixes that are smaller than their successors (by the first byte, or
    by as much as needed) directly, all others by scanning the buckets of first
    bytes in order, each suffix inducing the place of the one before it. Adjacent
    suffixes with a common prefix of ``LENGTH`` or more form runs of equal windows;
-   the least document id of a run decides for all of its windows.
-4. Segments get their windows' least ids back and documents their removed spans.
+   the least document id of a run decides for all of its windows, and the open
+   rows of a segment get the spans of the windows that start in a smaller one.
+4. Documents unite their spans. There are as many buckets as the bytes of the texts
+   ask for (``BUCKET_BYTES``).
 
 No step brings all occurrences of a string together: a passage that is everywhere
-has one row for each task in steps 1 to 3, and joins of step 4 split hot keys.
+has one row for each task in every step.
 
-Matches never cross documents. Nulls count as empty texts. Rows that share a
-document id are equal in rank: none is smaller than the other. A null document
+Matches never cross documents. Nulls count as empty texts, and an empty table gives
+no rows. Other columns are not read. Rows that share a document id are equal in
+rank: none is smaller than the other, and each keeps its own spans. A null document
 id is smaller than none, and none is smaller than it: such rows stay whole.
 """
 
@@ -34,7 +39,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,8 +51,8 @@ LENGTH, ANCHOR = 50, 16
 TASK_ANCHORS = 2_000_000
 #: Bytes of distinct segments that a task gathers before it hands them on.
 TASK_SEGMENTS = 60_000_000
-#: Buckets of anchors for each partition: each bucket gets its suffix array.
-BUCKETS = 4
+#: Bytes of texts for each bucket of anchors (a bucket's segments are at most about four times as many): each bucket gets its suffix array.
+BUCKET_BYTES = 2_500_000
 
 
 # -- anchors ----------------------------------------------------------------
@@ -191,20 +195,42 @@ def least_ids(segments: list[bytes], ids: np.ndarray, length: int = LENGTH) -> t
 
 # -- the distributed steps ------------------------------------------------------
 def _texts(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    return docs.select(F.col(doc_id).cast("long").alias("doc"), text_or_empty(text).alias("text"))
+    """(``doc``, ``sig``, ``text``): ``sig`` tells apart rows that share an id."""
+    return docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc"), text_or_empty(text).alias("text")).select("doc", F.xxhash64("text").alias("sig"), "text")
 
 
-def short(h: np.ndarray) -> bytes:
+def short(h: np.ndarray) -> np.ndarray:
     """32 bits of each anchor: enough to mark them in a document, as a mark too many costs work only."""
-    return (h.view(np.uint64) & np.uint64(0xFFFFFFFF)).astype("<u4").tobytes()
+    return (h.view(np.uint64) & np.uint64(0xFFFFFFFF)).astype("<u4")
 
 
-def anchor_rows(texts: DataFrame, length: int = LENGTH) -> DataFrame:
-    """(``h``, ``doc``, ``own``): each distinct anchor of a task with its document (null: several); documents' anchors that are shared in the task as bytes."""
+def spread(doc: np.ndarray, parts: int) -> np.ndarray:
+    """The bucket of each document."""
+    x = doc.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    return ((x >> np.uint64(33)) % np.uint64(parts)).astype(np.int64)
+
+
+def _cuts(sorted_keys: np.ndarray) -> list[int]:
+    """Where runs of equal keys begin, and the end."""
+    return np.flatnonzero(np.r_[True, sorted_keys[1:] != sorted_keys[:-1], True]).tolist() if len(sorted_keys) else [0]
+
+
+def lists_by_bucket(h: np.ndarray, d: np.ndarray, parts: int) -> tuple[list[int], list[bytes]]:
+    """Documents' anchors as bytes, one piece for each bucket of documents: pairs (document, 32 bits of the anchor)."""
+    b = spread(d, parts)
+    order = np.lexsort((d, b))
+    h, d, b = h[order], d[order], b[order]
+    cut = _cuts(b)
+    return [int(b[i]) for i in cut[:-1]], [np.array([j - i], "<i8").tobytes() + d[i:j].astype("<i8").tobytes() + short(h[i:j]).tobytes() for i, j in zip(cut[:-1], cut[1:], strict=True)]
+
+
+def anchor_rows(texts: DataFrame, parts: int, length: int = LENGTH) -> DataFrame:
+    """(``h``, ``doc``, ``own``): each distinct anchor of a task with its document (null: several); and, in ``own``, lists of anchors that are shared in the task (``doc``: their bucket)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
         size = 0
+        names = ["h", "doc", "own"]
 
         def out() -> Iterator[pa.RecordBatch]:
             h, d = np.concatenate([x[0] for x in held]), np.concatenate([x[1] for x in held])
@@ -218,21 +244,13 @@ def anchor_rows(texts: DataFrame, length: int = LENGTH) -> DataFrame:
             # distinct anchors, by document so that neighbouring rows look alike
             by = np.argsort(d[first], kind="stable")
             first, many1 = first[by], many[by]
-            names = ["h", "doc", "own"]
             for a in range(0, len(first), 50_000):
                 f = first[a : a + 50_000]
                 yield pa.RecordBatch.from_arrays([pa.array(h[f].view(np.int64)), pa.array(d[f], mask=many1[a : a + 50_000]), pa.nulls(len(f), pa.binary())], names=names)
             local = many[np.cumsum(new) - 1] & np.r_[True, (h[1:] != h[:-1]) | (d[1:] != d[:-1])]
-            h, d = h[local], d[local]
-            order = np.argsort(d, kind="stable")
-            h, d = h[order], d[order]
-            cut = np.flatnonzero(np.r_[True, d[1:] != d[:-1], True]) if len(d) else np.zeros(1, np.int64)
-            for a in range(0, len(cut) - 1, 2_000):
-                c = cut[a : a + 2_001]
-                owns = [short(h[i:j]) for i, j in zip(c[:-1].tolist(), c[1:].tolist(), strict=True)]
-                docs_ = d[c[:-1]]
-                spread = (docs_.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(spread), pa.array(docs_), pa.array(owns, pa.binary())], names=names)
+            buckets, lists = lists_by_bucket(h[local], d[local], parts)
+            salt = int(d[0]) & 0xFFFF  # so that lists of one bucket don't all take the same way
+            yield pa.RecordBatch.from_arrays([pa.array([(b << 16) | salt for b in buckets], pa.int64()), pa.array(buckets, pa.int64()), pa.array(lists, pa.binary())], names=names)
 
         for batch in batches:
             ids, column = batch.column(0).to_numpy(), batch.column(1).cast(pa.binary())
@@ -247,31 +265,27 @@ def anchor_rows(texts: DataFrame, length: int = LENGTH) -> DataFrame:
         if held:
             yield from out()
 
-    return texts.where("doc is not null").mapInArrow(run, "h long, doc long, own binary")
+    return texts.select("doc", "text").mapInArrow(run, "h long, doc long, own binary")
 
 
-def shared_anchors(rows: DataFrame) -> DataFrame:
-    """(``doc``, ``own``): anchors of a document, as bytes, that other documents have too; several rows for a document."""
+def shared_anchors(rows: DataFrame, parts: int) -> DataFrame:
+    """(``doc``, ``own``): for each document that has any, 32 bits of the anchors that other documents have too."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hs, ds = [], []
         for batch in batches:
             own = batch.column(2)
-            local = own.is_valid()
-            mine = batch.filter(local)
-            if mine.num_rows:
-                yield mine.select([1, 2])
+            lists = batch.filter(own.is_valid())
+            if lists.num_rows:
+                yield pa.RecordBatch.from_arrays([lists.column(1), lists.column(2)], names=["bucket", "own"])
             rest = batch.filter(own.is_null())
             doc = rest.column(1)
             hs.append(rest.column(0).to_numpy())
             many = doc.is_null().to_numpy(zero_copy_only=False)
-            d = doc.fill_null(0).to_numpy()
-            ds.append(np.rec.fromarrays([d, many], names="d,many"))
-        if not hs:
+            ds.append(np.rec.fromarrays([doc.fill_null(0).to_numpy(), many], names="d,many"))
+        if not sum(map(len, hs)):
             return
         h, r = np.concatenate(hs), np.concatenate(ds)
-        if not len(h):
-            return
         order = np.argsort(h, kind="stable")
         h, r = h[order], r[order]
         start = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
@@ -279,28 +293,41 @@ def shared_anchors(rows: DataFrame) -> DataFrame:
         shared = np.logical_or.reduceat(r["many"], start) | (low != high)
         count = np.diff(np.r_[start, len(h)])
         hit = np.repeat(shared & (count > 1), count) & ~r["many"]
-        h, d = h[hit], r["d"][hit]
+        buckets, lists = lists_by_bucket(h[hit].view(np.uint64), r["d"][hit], parts)
+        yield pa.RecordBatch.from_arrays([pa.array(buckets, pa.int64()), pa.array(lists, pa.binary())], names=["bucket", "own"])
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ds, xs = [], []
+        for batch in batches:
+            for raw in batch.column(1).to_pylist():
+                n = int(np.frombuffer(raw, "<i8", 1)[0])
+                ds.append(np.frombuffer(raw, "<i8", n, 8))
+                xs.append(np.frombuffer(raw, "<u4", n, 8 + 8 * n))
+        if not ds:
+            return
+        d, x = np.concatenate(ds), np.concatenate(xs)
         order = np.argsort(d, kind="stable")
-        h, d = h[order], d[order]
-        cut = np.flatnonzero(np.r_[True, d[1:] != d[:-1], True]) if len(d) else np.zeros(1, np.int64)
-        for a in range(0, len(cut) - 1, 20_000):
-            c = cut[a : a + 20_001]
-            yield pa.RecordBatch.from_arrays([pa.array(d[c[:-1]]), pa.array([short(h[i:j]) for i, j in zip(c[:-1].tolist(), c[1:].tolist(), strict=True)], pa.binary())], names=["doc", "own"])
+        d, x = d[order], x[order]
+        cut = _cuts(d)
+        for a in range(0, len(cut) - 1, 5_000):
+            c = cut[a : a + 5_001]
+            yield pa.RecordBatch.from_arrays([pa.array(d[c[:-1]]), pa.array([x[i:j].tobytes() for i, j in zip(c[:-1], c[1:], strict=True)], pa.binary())], names=["doc", "own"])
 
-    return rows.repartition("h").mapInArrow(run, "doc long, own binary")
+    found = rows.repartition("h").mapInArrow(find, "bucket long, own binary")
+    return found.repartition("bucket").mapInArrow(deal, "doc long, own binary")
 
 
 def packed(texts: DataFrame) -> DataFrame:
-    """(``doc``, ``z``): the texts' UTF-8, compressed, for the shuffle that several joins share."""
+    """(``doc``, ``sig``, ``z``): the texts' UTF-8, compressed, for the shuffle that several joins share."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press = zstandard.ZstdCompressor(level=1).compress
         for batch in batches:
-            column = batch.column(1).cast(pa.binary())
+            column = batch.column(2).cast(pa.binary())
             for a, b in column_blocks(column):
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(map(press, column.slice(a, b - a).to_pylist()), pa.binary(), size=b - a)], names=["doc", "z"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), pa.array(map(press, column.slice(a, b - a).to_pylist()), pa.binary(), size=b - a)], names=["doc", "sig", "z"])
 
-    return texts.mapInArrow(run, "doc long, z binary")
+    return texts.mapInArrow(run, "doc long, sig long, z binary")
 
 
 def _unpacked(column: pa.Array) -> list[bytes]:
@@ -308,164 +335,181 @@ def _unpacked(column: pa.Array) -> list[bytes]:
     return [open_(z) for z in column.to_pylist()]
 
 
-def _segments(batch: pa.RecordBatch, length: int) -> Iterator[tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]]:
-    """From rows (doc, z, own): segments of shared anchors, their anchors, documents and first windows (in bytes of the text)."""
-    kept = batch.filter(batch.column(2).is_valid())
-    ids = kept.column(0).to_numpy()
-    for a, b in column_blocks(kept.column(1), 800_000):
-        raws = _unpacked(kept.column(1).slice(a, b - a))
-        owner, h, first, last, raw = block_anchors(raws, length)
-        begins = np.cumsum([0, *(len(r) for r in raws)])
-        known = [np.frombuffer(b"".join(o), "<u4") for o in kept.column(2).slice(a, b - a).to_pylist()]
-        # (text, anchor) pairs that are shared: both numbered and compared at once
-        kt = np.repeat(np.arange(len(known)), [len(x) for x in known])
-        kh = np.concatenate([np.zeros(0, "<u4"), *known])
-        pair = lambda t, x: (t.astype(np.uint64) << np.uint64(32)) | (x & np.uint64(0xFFFFFFFF))
-        hit = np.isin(pair(owner, h), pair(kt, kh.astype(np.uint64)))
-        owner, h, first, last = owner[hit], h[hit], first[hit], last[hit]
-        data = raw.tobytes()
-        segments = [data[i:j] for i, j in zip(first.tolist(), (last + length).tolist(), strict=True)]
-        yield segments, h, ids[a:b][owner], first - begins[owner]
+def _segments(raws: list[bytes], own: list[bytes], length: int) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
+    """Segments of the texts' shared anchors: their bytes, anchors, texts (by number) and first bytes."""
+    owner, h, first, last, raw = block_anchors(raws, length)
+    begins = np.cumsum([0, *(len(r) for r in raws)])
+    known = [np.frombuffer(o, "<u4") for o in own]
+    # (text, anchor) pairs that are shared: both numbered and compared at once
+    kt = np.repeat(np.arange(len(known)), [len(x) for x in known])
+    kh = np.concatenate([np.zeros(0, "<u4"), *known])
+    pair = lambda t, x: (t.astype(np.uint64) << np.uint64(32)) | (x & np.uint64(0xFFFFFFFF))
+    hit = np.isin(pair(owner, h), pair(kt, kh.astype(np.uint64)))
+    owner, h, first, last = owner[hit], h[hit], first[hit], last[hit]
+    data = raw.tobytes()
+    segments = [data[i:j] for i, j in zip(first.tolist(), (last + length).tolist(), strict=True)]
+    return segments, h, owner, first - begins[owner]
+
+
+def united(row: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, list[bytes]]:
+    """Rows (by number) that have spans, and their maximal runs as bytes: begin (upper 32 bits) and end."""
+    shift = np.int64(1) << 33  # spans of different rows never touch
+    order = np.lexsort((begin, row))
+    base = row[order] * shift
+    b, e = union(base + begin[order], base + end[order])
+    at = b // shift
+    spans = ((b - at * shift) << 32) | (e - at * shift)
+    cut = _cuts(at)
+    return at[cut[:-1]], [spans[i:j].astype("<i8").tobytes() for i, j in zip(cut[:-1], cut[1:], strict=True)]
+
+
+SPAN_ROWS = "doc long, sig long, spans binary"
 
 
 def segment_rows(marked: DataFrame, buckets: int, length: int = LENGTH) -> DataFrame:
-    """(``bucket``, ``blob``): the distinct segments of a task by the bucket of their anchor, with their least and greatest document."""
+    """The distinct segments of a task by ``bucket`` with their open rows (``blob``), and spans of rows that are settled (``doc``, ``sig``, ``spans``)."""
+    names = ["bucket", "blob", "doc", "sig", "spans"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: dict[bytes, list[int]] = {}
+        seen: dict[bytes, int] = {}
+        hashes: list[int] = []
+        rows: dict[tuple[int, int], int] = {}
+        parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         size = 0
 
         def out() -> Iterator[pa.RecordBatch]:
             if not seen:
                 return
-            segments, values = list(seen), np.array(list(seen.values()), np.int64)
-            seen.clear()
-            order = np.argsort(values[:, 0], kind="stable")
-            cut = np.flatnonzero(np.r_[True, np.diff(values[order, 0]) != 0, True])
+            segments, bucket = list(seen), np.array(hashes, np.uint64)
+            bucket = ((bucket >> np.uint64(20)) % np.uint64(buckets)).astype(np.int64)
+            key = np.array(list(rows), np.int64).reshape(-1, 2)
+            seg, row, at = (np.concatenate(x) for x in zip(*parts, strict=True))
+            for x in (seen, hashes, rows, parts):
+                x.clear()
+            doc = key[row, 0]
+            least = np.full(len(segments), np.iinfo(np.int64).max)
+            np.minimum.at(least, seg, doc)
+            sizes = np.array([len(x) for x in segments], np.int64)
+            open_ = doc == least[seg]
+            settled, spans = united(row[~open_], at[~open_], (at + sizes[seg])[~open_])
+            for a in range(0, len(settled), 20_000):
+                k = key[settled[a : a + 20_000]]
+                yield pa.RecordBatch.from_arrays([pa.array(spread(k[:, 0], 1 << 30)), pa.nulls(len(k), pa.binary()), pa.array(k[:, 0]), pa.array(k[:, 1]), pa.array(spans[a : a + 20_000], pa.binary())], names=names)
+            seg, row, at = seg[open_], row[open_], at[open_]
+            order = np.argsort(seg, kind="stable")
+            seg, row, at = seg[order], row[order], at[order]
+            edge = np.searchsorted(seg, np.arange(len(segments) + 1))
+            by = np.argsort(bucket, kind="stable")
+            cut = _cuts(bucket[by])
             press = zstandard.ZstdCompressor(level=9).compress
-            for i, j in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
-                part = order[i:j]
+            for i, j in zip(cut[:-1], cut[1:], strict=True):
+                part = by[i:j]
                 group = [segments[k] for k in part.tolist()]
-                head = np.array([len(group)], "<i8").tobytes() + values[part, 1].astype("<i8").tobytes() + values[part, 2].astype("<i8").tobytes() + np.array([len(x) for x in group], "<i4").tobytes()
-                blob = press(head + b"".join(group))
-                yield pa.RecordBatch.from_arrays([pa.array([int(values[part[0], 0])], pa.int64()), pa.array([blob], pa.binary())], names=["bucket", "blob"])
+                count = edge[part + 1] - edge[part]
+                occ = np.repeat(edge[part] - (np.cumsum(count) - count), count) + np.arange(count.sum())
+                raw = b"".join([np.array([len(group), len(occ)], "<i8").tobytes(), sizes[part].astype("<i8").tobytes(), count.astype("<i8").tobytes(), key[row[occ], 0].astype("<i8").tobytes(), key[row[occ], 1].astype("<i8").tobytes(), at[occ].astype("<i8").tobytes(), *group])
+                yield pa.RecordBatch.from_arrays([pa.array([int(bucket[part[0]])], pa.int64()), pa.array([press(raw)], pa.binary()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary())], names=names)
 
         for batch in batches:
-            for segments, h, docs_, _ in _segments(batch, length):
-                for s, x, d in zip(segments, ((h >> np.uint64(20)) % np.uint64(buckets)).tolist(), docs_.tolist(), strict=True):
-                    v = seen.get(s)
-                    if v is None:
-                        seen[s] = [x, d, d]
-                        size += len(s)
-                    elif d < v[1]:
-                        v[1] = d
-                    elif d > v[2]:
-                        v[2] = d
+            batch = batch.filter(batch.column(3).is_valid())
+            for a, b in column_blocks(batch.column(2), 800_000):
+                part = batch.slice(a, b - a)
+                keys = list(zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True))
+                fresh = [i for i, k in enumerate(keys) if k not in rows]  # a repeated row has the spans of the first
+                fresh = list({keys[i]: i for i in fresh}.values())
+                part = part.take(pa.array(fresh, pa.int64()))
+                number = np.array([rows.setdefault(keys[i], len(rows)) for i in fresh], np.int64)
+                segments, h, owner, at = _segments(_unpacked(part.column(2)), part.column(3).to_pylist(), length)
+                where = np.empty(len(segments), np.int64)
+                for n, (s, x) in enumerate(zip(segments, h.tolist(), strict=True)):
+                    k = seen.get(s)
+                    if k is None:
+                        seen[s] = k = len(seen)
+                        hashes.append(x)
+                        size += len(s) + 60
+                    where[n] = k
+                parts.append((where, number[owner], at))
+                size += 24 * len(segments)
                 if size > TASK_SEGMENTS:
                     yield from out()
                     size = 0
         yield from out()
 
-    return marked.mapInArrow(run, "bucket long, blob binary")
+    return marked.mapInArrow(run, "bucket long, blob binary, doc long, sig long, spans binary")
 
 
-def _opened(blob: bytes) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+def _opened(blob: bytes) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Segments, their numbers of rows, and the rows' documents, signs and first bytes."""
     raw = zstandard.ZstdDecompressor().decompress(blob)
-    n = int(np.frombuffer(raw, "<i8", 1)[0])
-    low, high, sizes = np.frombuffer(raw, "<i8", n, 8), np.frombuffer(raw, "<i8", n, 8 + 8 * n), np.frombuffer(raw, "<i4", n, 8 + 16 * n)
-    ends = 8 + 20 * n + np.cumsum(sizes, dtype=np.int64)
-    return [raw[a:b] for a, b in zip((ends - sizes).tolist(), ends.tolist(), strict=True)], low, high
-
-
-def sids(segments: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """96 bits of each segment: a long to join by and an int to compare."""
-    raw = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, segments)), "<i8").reshape(-1, 2)
-    return raw[:, 0].astype(np.int64), (raw[:, 1] & 0x7FFFFFFF).astype(np.int64)
-
-
-def occurrence_rows(marked: DataFrame, length: int = LENGTH) -> DataFrame:
-    """(``key``, ``doc``, ``at``): each segment of each document; ``at`` holds its first byte and, above, the rest of its key."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for segments, _, docs_, at in _segments(batch, length):
-                key, rest = sids(segments)
-                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(docs_), pa.array((rest << 32) | at)], names=["key", "doc", "at"])
-
-    return marked.mapInArrow(run, "key long, doc long, at long")
-
-
-def run_begins(change: np.ndarray, longest: int = 0xFFFF) -> np.ndarray:
-    """Where runs of windows begin, given whether each differs from the one before; longer runs are split to fit uint16."""
-    begin = np.flatnonzero(np.r_[True, change])
-    parts = -(-np.diff(np.r_[begin, len(change) + 1]) // longest)
-    nth = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
-    return np.repeat(begin, parts) + longest * nth
-
-
-def window_ids(segments: DataFrame, length: int = LENGTH) -> DataFrame:
-    """(``key``, ``rest``, ``sizes``, ``ids``) for segments that may lose windows: runs of windows (uint16) and their least ids (int64), as bytes."""
-
-    def bucket(blobs: list[bytes]) -> Iterator[pa.RecordBatch]:
-        seen: dict[bytes, int] = {}
-        lows, highs, rows = [], [], []
-        for blob in blobs:
-            group, low, high = _opened(blob)
-            rows += [seen.setdefault(x, len(seen)) for x in group]
-            lows.append(low)
-            highs.append(high)
-        low, high = np.full(len(seen), np.iinfo(np.int64).max), np.full(len(seen), np.iinfo(np.int64).min)
-        np.minimum.at(low, rows, np.concatenate(lows))
-        np.maximum.at(high, rows, np.concatenate(highs))
-        segs = list(seen)
-        least, at = least_ids(segs, low, length)
-        owner = np.repeat(np.arange(len(segs)), np.diff(at))
-        useful = np.flatnonzero(np.minimum.reduceat(least, at[:-1]) < high)
-        begin = run_begins((least[1:] != least[:-1]) | (owner[1:] != owner[:-1]))
-        run_length, run_id = np.diff(np.r_[begin, len(least)]).astype("<u2").tobytes(), least[begin].astype("<i8").tobytes()
-        edge = np.searchsorted(owner[begin], np.arange(len(segs) + 1)).tolist()
-        picked = useful.tolist()
-        for i in range(0, len(picked), 20_000):
-            part = picked[i : i + 20_000]
-            sizes = [run_length[2 * edge[k] : 2 * edge[k + 1]] for k in part]
-            ids = [run_id[8 * edge[k] : 8 * edge[k + 1]] for k in part]
-            key, rest = sids([segs[k] for k in part])
-            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(rest.astype(np.int32)), pa.array(sizes, pa.binary()), pa.array(ids, pa.binary())], names=["key", "rest", "sizes", "ids"])
+    n, m = np.frombuffer(raw, "<i8", 2).tolist()
+    sizes, count = np.frombuffer(raw, "<i8", n, 16), np.frombuffer(raw, "<i8", n, 16 + 8 * n)
+    doc, sig, at = (np.frombuffer(raw, "<i8", m, 16 + 16 * n + 8 * m * i) for i in range(3))
+    ends = 16 + 16 * n + 24 * m + np.cumsum(sizes)
+    return [raw[a:b] for a, b in zip((ends - sizes).tolist(), ends.tolist(), strict=True)], count, doc, sig, at
+
+
+def bucket_spans(blobs: list[bytes], length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """Of one bucket, the rows (document and sign) that lose something, and the spans they lose."""
+    seen: dict[bytes, int] = {}
+    segs, docs_, sigs, ats = [], [], [], []
+    for blob in blobs:
+        group, count, doc, sig, at = _opened(blob)
+        segs.append(np.repeat(np.array([seen.setdefault(x, len(seen)) for x in group], np.int64), count))
+        docs_.append(doc)
+        sigs.append(sig)
+        ats.append(at)
+    seg, doc, sig, at = map(np.concatenate, (segs, docs_, sigs, ats))
+    low = np.full(len(seen), np.iinfo(np.int64).max)
+    np.minimum.at(low, seg, doc)
+    least, windows = least_ids(list(seen), low, length)
+    # runs of windows with one least id, segment by segment
+    edge = np.zeros(len(least), bool)
+    edge[windows[:-1]] = True
+    edge[1:] |= least[1:] != least[:-1]
+    begin = np.flatnonzero(edge)
+    end = np.r_[begin[1:], len(least)]
+    first = np.searchsorted(begin, windows)  # a segment's runs
+    # rows that have a run with a smaller id, against each of their segment's runs, some rows at a time
+    lowest = np.minimum.reduceat(least, windows[:-1])
+    open_ = np.flatnonzero(lowest[seg] < doc)
+    runs = (first[1:] - first[:-1])[seg[open_]]
+    rows_, begins, ends = [], [], []
+    for part in np.split(open_, np.flatnonzero(np.diff(np.cumsum(runs) // 2_000_000)) + 1):
+        n = first[seg[part] + 1] - first[seg[part]]
+        row = np.repeat(part, n)
+        run = np.repeat(first[seg[part]] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        hit = least[begin[run]] < doc[row]
+        row, run = row[hit], run[hit]
+        rows_.append(row)
+        begins.append(at[row] + begin[run] - windows[seg[row]])
+        ends.append(at[row] + end[run] - windows[seg[row]] - 1 + length)
+    if not rows_:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), []
+    row, begin, end = map(np.concatenate, (rows_, begins, ends))
+    keys, number = np.unique(np.stack([doc[row], sig[row]], axis=1), axis=0, return_inverse=True)
+    got, spans = united(number.ravel(), begin, end)
+    return keys[got, 0], keys[got, 1], spans
+
+
+def open_spans(segments: DataFrame, length: int = LENGTH) -> DataFrame:
+    """(``doc``, ``sig``, ``spans``) of all rows: those of each bucket's segments, and those that were settled before."""
+    names = ["doc", "sig", "spans"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list[bytes]] = {}
         for batch in batches:
-            for n, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            settled = batch.filter(batch.column(1).is_null())
+            if settled.num_rows:
+                yield pa.RecordBatch.from_arrays(settled.columns[2:], names=names)
+            rest = batch.filter(batch.column(1).is_valid())
+            for n, blob in zip(rest.column(0).to_pylist(), rest.column(1).to_pylist(), strict=True):
                 held.setdefault(n, []).append(blob)
         while held:
-            yield from bucket(held.popitem()[1])
-
-    return segments.repartition("bucket").mapInArrow(run, "key long, rest int, sizes binary, ids binary")
+            doc, sig, spans = bucket_spans(held.popitem()[1], length)
+            for a in range(0, len(doc), 20_000):
+                yield pa.RecordBatch.from_arrays([pa.array(doc[a : a + 20_000]), pa.array(sig[a : a + 20_000]), pa.array(spans[a : a + 20_000], pa.binary())], names=names)
 
-
-def removed_spans(texts: DataFrame, z: DataFrame, length: int = LENGTH) -> DataFrame:
-    """(``doc``, ``span``): pieces of what a document loses, a begin (upper 32 bits) and an end in bytes."""
-    own = shared_anchors(anchor_rows(texts, length)).groupBy("doc").agg(F.collect_list("own").alias("own"))
-    marked = z.join(own.hint("shuffle_hash"), "doc", "left").select("doc", "z", "own")
-    buckets = BUCKETS * int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    answers = window_ids(segment_rows(marked, buckets, length), length)
-    hits = occurrence_rows(marked, length).join(answers, "key").where(F.shiftright("at", 32) == F.col("rest")).select("doc", "at", "sizes", "ids")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            doc, at, sizes_ = batch.column(0).to_numpy(), batch.column(1).to_numpy() & 0xFFFFFFFF, batch.column(2).to_pylist()
-            size, least = np.frombuffer(b"".join(sizes_), "<u2").astype(np.int64), np.frombuffer(b"".join(batch.column(3).to_pylist()), "<i8")
-            count = np.array([len(x) // 2 for x in sizes_], np.int64)
-            row = np.repeat(np.arange(len(doc)), count)
-            start = np.cumsum(size) - size
-            begin = at[row] + start - start[np.cumsum(count) - count][row]
-            hit = least < doc[row]
-            begin, end = begin[hit], (begin + size - 1 + length)[hit]
-            yield pa.RecordBatch.from_arrays([pa.array(doc[row][hit]), pa.array((begin << 32) | end)], names=["doc", "span"])
-
-    return hits.mapInArrow(run, "doc long, span long")
+    return segments.repartition("bucket").mapInArrow(run, SPAN_ROWS)
 
 
 def union(begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -478,18 +522,24 @@ def union(begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def with_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
-    """(``doc``, ``z``, ``spans``): each document, its text compressed, with the pieces it loses (null: none)."""
-    texts = _texts(docs, doc_id, text)
+    """(``doc``, ``sig``, ``z``, ``pieces``): each document with an id, its text compressed, with the spans it loses (null: none), by their signs."""
+    texts = _texts(docs, doc_id, text).where("doc is not null")
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    total = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = max(parts, -(-total // BUCKET_BYTES))
     z = packed(texts)  # dealt out by document once: both joins read the same exchange
-    pieces = removed_spans(texts, z, length).groupBy("doc").agg(F.collect_list("span").alias("spans"))
-    return z.join(pieces.hint("shuffle_hash"), "doc", "left").select("doc", "z", "spans")
+    own = shared_anchors(anchor_rows(texts, parts, length), parts)
+    marked = z.join(own.hint("shuffle_hash"), "doc", "left").select("doc", "sig", "z", "own")
+    spans = open_spans(segment_rows(marked, buckets, length), length)
+    pieces = spans.groupBy("doc").agg(F.collect_list(F.struct("sig", "spans")).alias("pieces"))
+    return z.join(pieces.hint("shuffle_hash"), "doc", "left").select("doc", "sig", "z", "pieces")
 
 
-def cut(raw: bytes, pieces: list[int] | None) -> tuple[bytes, list[tuple[int, int]]]:
+def cut(raw: bytes, pieces: bytes) -> tuple[bytes, list[tuple[int, int]]]:
     """What remains of a text, and the maximal runs that go."""
     if not pieces:
         return raw, []
-    both = np.sort(np.array(pieces, np.int64))
+    both = np.sort(np.frombuffer(pieces, "<i8"))
     begin, end = union(both >> 32, both & 0xFFFFFFFF)
     spans = list(zip(begin.tolist(), end.tolist(), strict=True))
     at, kept = 0, []
@@ -506,20 +556,29 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     short = [("n_bytes", T.LongType()), ("n_removed", T.LongType()), ("n_spans", T.LongType()), ("kept_sha256", T.StringType())]
     schema = T.StructType([T.StructField("doc_id", T.LongType()), *(T.StructField(n, t) for n, t in (short if digests else full))])
 
+    def rows(ids: pa.Array, raws: list[bytes], pieces: list[bytes]) -> pa.RecordBatch:
+        done = [cut(r, p) for r, p in zip(raws, pieces, strict=True)]
+        if digests:
+            columns = [pa.array([len(r) for r in raws], pa.int64()), pa.array([len(r) - len(k) for r, (k, _) in zip(raws, done, strict=True)], pa.int64()), pa.array([len(s) for _, s in done], pa.int64()), pa.array([hashlib.sha256(k).hexdigest() for k, _ in done], pa.string())]
+        else:
+            columns = [pa.array([k for k, _ in done], pa.binary()), pa.array([[{"begin": x, "end": y} for x, y in s] for _, s in done], pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())])))]
+        return pa.RecordBatch.from_arrays([ids, *columns], names=schema.names)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            pieces = batch.column(2).to_pylist()
-            for a, b in column_blocks(batch.column(1), 800_000):
-                raws = _unpacked(batch.column(1).slice(a, b - a))
-                done = [cut(r, p) for r, p in zip(raws, pieces[a:b], strict=True)]
-                ids = batch.column(0).slice(a, b - a)
-                if digests:
-                    columns = [pa.array([len(r) for r in raws], pa.int64()), pa.array([len(r) - len(k) for r, (k, _) in zip(raws, done, strict=True)], pa.int64()), pa.array([len(s) for _, s in done], pa.int64()), pa.array([hashlib.sha256(k).hexdigest() for k, _ in done], pa.string())]
-                else:
-                    columns = [pa.array([k for k, _ in done], pa.binary()), pa.array([[{"begin": x, "end": y} for x, y in s] for _, s in done], pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())])))]
-                yield pa.RecordBatch.from_arrays([ids, *columns], names=schema.names)
-
-    return with_spans(docs, doc_id, text, length).mapInArrow(run, schema)
+            for a, b in column_blocks(batch.column(2), 800_000):
+                part = batch.slice(a, b - a)
+                pieces = [b"".join(p["spans"] for p in ps or () if p["sig"] == sig) for sig, ps in zip(part.column(1).to_pylist(), part.column(3).to_pylist(), strict=True)]
+                yield rows(part.column(0), _unpacked(part.column(2)), pieces)
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            column = batch.column(2).cast(pa.binary())
+            for a, b in column_blocks(column):
+                yield rows(batch.column(0).slice(a, b - a), column.slice(a, b - a).to_pylist(), [b""] * (b - a))
+
+    unnamed = _texts(docs.where(F.col(f"`{doc_id}`").isNull()), doc_id, text).mapInArrow(whole, schema)
+    return with_spans(docs, doc_id, text, length).mapInArrow(run, schema).unionByName(unnamed)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -411,6 +411,26 @@ def test_suffix_dedup_long_periodic_runs(spark):
     assert got == brute_repeats(docs) and got[2][1] == 100_000
 
 
+def test_suffix_dedup_rows_that_share_an_id(spark):
+    """Rows of one id keep their own spans, whatever else has that id; repeated rows are cut alike."""
+    rng = random.Random(21)
+    make = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    a, b, c = make(300), make(200), make(400)
+    docs = [(1, a), (5, a), (5, a), (5, b), (5, c[:150] + a[60:200]), (7, b + c[:120]), (7, b + c[:120]), (9, c + b)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    first = {}
+    for i, t in docs:
+        for k in range(len(t) - 49):
+            first[t[k : k + 50]] = min(i, first.get(t[k : k + 50], i))
+
+    def kept(i, t):
+        gone = {j for k in range(len(t) - 49) if first[t[k : k + 50]] < i for j in range(k, k + 50)}
+        return "".join(x for j, x in enumerate(t) if j not in gone)
+
+    got = sorted((r.doc_id, bytes(r.kept).decode()) for r in suffix_dedup.remove_repeats(df).collect())
+    assert got == sorted((i, kept(i, t)) for i, t in docs) and (5, b) in got and (5, "") in got
+
+
 def test_suffix_dedup_odd_rows(odd, none):
     out = suffix_dedup.remove_repeats(odd, digests=True)
     assert out.count() == odd.count()
