@@ -489,7 +489,59 @@ def test_html_templates(spark):
     assert got[12] == got[13] == "" and got[14] == "x < y & z &am\nq" and got[15] == "deep"
     assert html_extract.extract(df.where("page_id < 0")).count() == 0
     found = {r.host: r for r in html_extract.templates(df).collect()}
-    assert found["a.example.com"].main_rank == 2 and len(found["b.example.com"].fixed_text) == 1
+    page = html_extract.Page(PAGE.format(1))
+    assert found["a.example.com"].main == page.path[next(i for i in range(len(page.path)) if page.own_rank(i) == 2)] and len(found["b.example.com"].fixed) == 1
+
+
+def test_html_classes_equal_brute_force(spark):
+    """Tokens are in one class if, and only if, their occurrence vectors over the pages are equal; repeated pages don't cancel."""
+    rng = random.Random(31)
+    parts = ["<div class=a>x</div>", "<div class=b>y</div>", "<p>one", "<p>two", "<ul><li>i<li>j</ul>", "<h2>h</h2>"]
+    pages = ["".join(rng.choice(parts) for _ in range(rng.randrange(6))) for _ in range(30)]
+    pages += pages[:7] + pages[:3]
+    df = spark.createDataFrame([("http://h/", h) for h in pages], "url string, html string").repartition(4)
+    sums = html_extract.occurrences(df, "url", "html").groupBy("token").agg(*(F.sum(c).alias(c) for c in ("v1", "v2", "v3", "pages", "total")))
+    got = {r.token: tuple(r)[1:] for r in sums.collect()}
+    counts = [{t: v[4] for t, v in html_extract.page_tokens(html_extract.Page(h)).items()} for h in pages]
+    true = {t: tuple(c.get(t, 0) for c in counts) for c in counts for t in c}
+    assert got.keys() == true.keys() and len(true) > 8
+    assert all((got[a] == got[b]) == (true[a] == true[b]) for a in true for b in true)
+    assert all(got[t][3:] == (sum(x > 0 for x in v), sum(v)) for t, v in true.items())
+
+
+def test_html_template_finds_the_article_without_marks(spark):
+    """No mark says which element is the article: the host's pages together do, a page alone can't."""
+    rng = random.Random(32)
+    words = lambda n: " ".join("".join(rng.choice("abcdefg") for _ in range(5)) for _ in range(n))
+    rows, want = [], {}
+    for i in range(12):
+        body = [words(rng.randrange(40, 60)) for _ in range(rng.randrange(2, 6))]
+        head = words(5)
+        side = words(900 if i == 4 else 4)  # one page's side text is longer than its article
+        want[i] = "\n".join([head, *body])
+        rows.append((i, f"http://plain.example.com/{i}", f"<body><div class=x1><div class=x2>{side}</div></div><div class=y><div class=z>Always the same advert</div><div class=t>{head}</div>" + "".join(f"<p>{b}</p>" for b in body) + f"</div><div class=w>{words(3)}</div></body>"))
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html_extract.extract(df).collect()}
+    assert got == want
+    alone = {i: html_extract.main_text(h, None, frozenset()) for i, _, h in rows}
+    assert alone[4] != want[4] and all("Always" in t for i, t in alone.items() if i != 4)
+    # copies of one page are no template
+    copies = spark.createDataFrame([(i, "http://c/", rows[0][2]) for i in range(5)], "page_id long, url string, html string")
+    assert {r.text for r in html_extract.extract(copies).collect()} == {"Always the same advert\n" + want[0]}
+
+
+def test_html_names_that_only_look_dropped():
+    page = "<div class=site-header>no</div><article><header><h1>Title</h1></header><div class='related-work'>kept</div><p class=share-price>kept too</p><div class='related-posts'>no</div><div class='cookie-notice'>no</div><footer>no</footer></article>"
+    assert html_extract.main_text(page, None, frozenset()) == "Title\nkept\nkept too"
+
+
+@pytest.mark.parametrize("piece", ["<a ", '<a "', "<div>", "<b><i>", "<p><div class=a>", "</b>", "<!--", "<script>", "<x y='", "<li><ul>"])
+def test_html_of_a_megabyte_takes_linear_time(piece):
+    import time
+
+    began = time.time()
+    html_extract.main_text(piece * (1_000_000 // len(piece)) + "x</b>", None, frozenset())
+    assert time.time() - began < 30
 
 
 def test_html_joins_templates_that_are_too_large(spark, monkeypatch):
