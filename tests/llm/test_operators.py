@@ -347,6 +347,42 @@ def test_decontamination_odd_rows(spark, odd, none):
     assert decontamination.keep_clean(none, bench).count() == 0 and decontamination.contaminated(none, bench).count() == 0
 
 
+def test_decontamination_of_other_scripts():
+    """q-grams are of code points: a text that shares none costs no hits, and edits are found as in Latin."""
+    rng = random.Random(41)
+    han = lambda n: "".join(chr(0x4E00 + rng.randrange(3000)) for _ in range(n))
+    items = [(i, han(200)) for i in range(50)]
+    index = decontamination.Items(items)
+    assert len(np.unique(index.keys)) > 9_000
+    text = han(2_000)
+    assert not index.find(text) and not list(index._bands(text))
+    spoiled = list(items[7][1])
+    for p in range(10, 190, 12):
+        spoiled[p] = "字"
+    assert [h[0] for h in index.find(text + "".join(spoiled) + text)] == [7]
+    greek = decontamination.Items([(1, "ΑΣ ΛΟΓΟΣ ΚΑΙ ΜΥΘΟΣ")])
+    assert [h[0] for h in greek.find("xΑΣ ΛΟΓΟΣ ΚΑΙ ΜΥΘΟΣΒ")] == [1]
+
+
+def test_decontamination_of_repetitive_texts_is_bounded(monkeypatch):
+    """Hits are expanded in pieces, with the same result, and what the search has passed is let go."""
+    rng = random.Random(42)
+    items = [(0, "ab" * 60), (1, "-" * 40 + " title " + "-" * 40), (2, "".join(rng.choice("ab") for _ in range(90)))]
+    index = decontamination.Items(items)
+    text = "ab" * 300 + items[1][1].replace("title", "titel") + "-" * 500 + "".join(rng.choice("ab") for _ in range(500)) + items[2][1][:50] + "x" + items[2][1][50:]
+    whole = index.find(text)
+    monkeypatch.setattr(decontamination, "HITS_AT_ONCE", 500)
+    assert index.find(text) == whole and {h[0] for h in whole} == {0, 1, 2}
+    monkeypatch.undo()
+    import tracemalloc
+
+    text = "-" * 60_000
+    tracemalloc.start()
+    assert sum(1 for _ in index._bands(text)) > 5_000
+    assert tracemalloc.get_traced_memory()[1] < 300_000_000
+    tracemalloc.stop()
+
+
 def test_benchmark_in_several_blocks(spark, monkeypatch):
     whole = sorted(map(tuple, decontamination.query(spark, SF).collect()))
     monkeypatch.setattr(decontamination.item_blocks, "__defaults__", (2_000,))
