@@ -219,7 +219,7 @@ def encode_decode(docs: DataFrame, vocabulary: str, text: str = "text", keep: li
     short = [("n_tokens", T.LongType()), ("ids_sha256", T.StringType()), ("decoded_sha256", T.StringType())]
 
     def make():
-        model = worker_cache(("bpe", vocabulary), lambda: WordBpe(vocabulary))
+        model = worker_cache("bpe", vocabulary, lambda: WordBpe(vocabulary))
 
         def work(texts: list[str]) -> dict[str, pa.Array]:
             ids, at = model.encode(texts)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import re
 import shutil
 import sys
 import tempfile
@@ -26,12 +27,14 @@ BLOCK_CHARS = 2_000_000
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder that the cluster names; a temporary one only where none is set (tests)."""
+    """The shared folder that the cluster names; a temporary one where none is set and all runs in one process (tests)."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
         of_context = spark.sparkContext._jsc.sc().getCheckpointDir()
         named = of_context.get() if of_context.isDefined() else None
     if not named:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         named = tempfile.mkdtemp(prefix="curata-scratch-")
         atexit.register(shutil.rmtree, named, ignore_errors=True)
         spark.sparkContext.setCheckpointDir(named)
@@ -39,10 +42,16 @@ def scratch_dir(spark: SparkSession) -> str:
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written as a table of the shared folder and read back: cuts lineage, survives lost executors."""
-    path = f"{scratch_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    """``df`` written as a table of the shared folder and read back: cuts lineage, survives lost executors.
+
+    Results are read from it later, so the table goes when the driver ends.
+    """
+    spark = df.sparkSession
+    path = f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -74,12 +83,12 @@ def _ranges(sizes: Iterable[int], limit: int) -> Iterator[tuple[int, int]]:
         yield start, i
 
 
-def worker_cache(key: tuple, make: Callable[[], object]):
-    """What ``make`` returns, kept for later tasks of the same Python worker."""
+def worker_cache(name: str, version: str, make: Callable[[], object]):
+    """What ``make`` returns, kept for later tasks of the same Python worker; of each name only the last version."""
     kept = sys.__dict__.setdefault("_curata_worker_cache", {})
-    if key not in kept:
-        kept[key] = make()
-    return kept[key]
+    if name not in kept or kept[name][0] != version:
+        kept[name] = (version, make())
+    return kept[name][1]
 
 
 def map_texts(

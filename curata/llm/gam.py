@@ -14,7 +14,9 @@ rows (those with the smallest hashes), a bound that the caller may change; it is
 a few kilobytes and goes to the workers with the task. Scoring covers all rows.
 
 Nulls count as empty texts; an empty text has features and a score like others.
-Repeated rows get equal scores. If a label occurs for no row at all, or only one
+Repeated rows get equal scores. A document with both labels is not used, a repeated
+label counts once, and a row without an id has none. ``score`` and ``predicted`` take the place of
+columns of these names; an empty table gives no rows. If a label occurs for no row at all, or only one
 label occurs, the score is the share of label 1 (0.5 without any row).
 """
 
@@ -29,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from curata.llm.common import map_texts, table, text_or_empty
+from curata.llm.common import column_blocks, map_texts, table, text_or_empty
 from curata.llm.quality_rules import base_counts
 
 TRAIN_ROWS = 20_000
@@ -168,7 +170,7 @@ def fit(x: np.ndarray, y: np.ndarray) -> Model:
 
 def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "quality", rows: int = TRAIN_ROWS) -> Model:
     """A model of ``label`` from the labelled documents that ``labels`` lists; at most ``rows`` of them."""
-    chosen = labels.where(F.col(label).isin(0, 1)).select(F.col(doc_id).alias("__id"), F.col(label).cast("int").alias("__y")).dropDuplicates(["__id"])
+    chosen = labels.where(F.col(label).isin(0, 1)).groupBy(F.col(doc_id).alias("__id")).agg(F.min(F.col(label).cast("int")).alias("__y"), F.max(F.col(label).cast("int")).alias("__most")).where("__y = __most").drop("__most")
     chosen = chosen.orderBy(F.xxhash64("__id"), "__id").limit(rows)
     # the limit bounds this side: rows times an id and a label
     joined = docs.select(F.col(doc_id).alias("__id"), text_or_empty(text).alias("__text")).join(F.broadcast(chosen), "__id")
@@ -176,10 +178,9 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(2).to_pylist()
-            if texts:
-                x = features(texts)
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), width).cast(pa.list_(pa.float64()))], names=["id", "y", "x"])
+            for a, b in column_blocks(batch.column(2)):
+                x = features(batch.column(2).slice(a, b - a).to_pylist())
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), width).cast(pa.list_(pa.float64()))], names=["id", "y", "x"])
 
     schema = T.StructType([T.StructField("id", docs.schema[doc_id].dataType), T.StructField("y", T.IntegerType()), T.StructField("x", T.ArrayType(T.DoubleType()))])
     got = joined.select("__id", "__y", "__text").mapInArrow(run, schema).toArrow().sort_by("id")
@@ -202,7 +203,8 @@ def with_scores(docs: DataFrame, model: Model, text: str = "text", keep: list[st
 
 
 def held_out(doc_id: str = "doc_id"):
-    return F.pmod(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(5)) == 0
+    """Whether a row is kept from training; a row without an id is not held out, and has no label either."""
+    return F.coalesce(F.pmod(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(5)) == 0, F.lit(False))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

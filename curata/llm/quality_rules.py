@@ -6,9 +6,10 @@ lines, share of repeated words, and mean word length. For each language and
 source, quantile sketches of the rates (partial sketches per task, merged in the
 shuffle, so a hot source costs no more than any other) give the quartiles; a
 document whose rate lies beyond the quartile by more than ``FENCE`` times the
-distance of the quartiles plus a small slack breaks the rule. Groups of fewer
-than ``LEAST`` documents take the thresholds of their language, and languages
-as small as that those of the whole table. Fixed cutoffs exist only for the base
+distance of the quartiles plus a small slack breaks the rule. A group's quartiles are
+means, weighed by documents, of its own and, as if ``LEAST`` documents had them, its
+language's, and a language's of its own and the whole table's: the fewer documents a
+group has, the nearer it is to the next coarser one. Fixed cutoffs exist only for the base
 rule (too few words, or half of the words in repeated windows).
 
 Nulls count as empty texts (which fail the base rule); a null language or source
@@ -117,36 +118,37 @@ def base_failed(prefix: str = "") -> Column:
 def thresholds(counted: DataFrame, lang: str = "lang", source: str = "source", prefix: str = "", fence: float = FENCE, least: int = LEAST) -> DataFrame:
     """One row per language and source: ``_lang``, ``_source`` and the bounds of each rate.
 
-    Only documents that pass the base rule count. Sketches are made per group and
-    merged upwards, so the coarser ones need no second pass over the documents.
+    Only documents that pass the base rule count. All grains are aggregated from the
+    counts, a few numbers a document; the texts are not read again.
     """
     passing = counted.where(~base_failed(prefix))
     keyed = passing.select(F.col(lang).cast("string").alias("_lang"), F.col(source).cast("string").alias("_source"), *(c.alias(k) for k, c in rates(prefix).items()))
-    quartiles = [F.percentile_approx(k, F.array(F.lit(0.25), F.lit(0.75)), ACCURACY).alias(k) for k in RATES]
-
-    def bounds(grouped) -> DataFrame:
-        q = grouped.agg(F.count("*").alias("_n"), *quartiles)
-        cols = []
-        for k, (both, slack) in RATES.items():
-            low, high = F.col(k)[0], F.col(k)[1]
-            reach = F.lit(fence) * (high - low) + F.lit(slack)
-            cols.append((high + reach).alias(f"{k}_max"))
-            if both:
-                cols.append((low - reach).alias(f"{k}_min"))
-        return q.select(*[c for c in q.columns if c in ("_lang", "_source", "_n")], *cols)
-
-    fine, by_lang, whole = bounds(keyed.groupBy("_lang", "_source")), bounds(keyed.groupBy("_lang")), bounds(keyed.groupBy())
-    names = [c for c in fine.columns if c not in ("_lang", "_source", "_n")]
-    rename = lambda df, tag: df.select(*([F.col("_lang").alias(f"_lang{tag}")] if "_lang" in df.columns else []), F.col("_n").alias(f"_n{tag}"), *(F.col(c).alias(c + tag) for c in names))
+    quartiles = [F.percentile_approx(k, F.array(F.lit(0.25), F.lit(0.75)), ACCURACY) for k in RATES]
+
+    def grain(by: list[str], tag: str) -> DataFrame:
+        made = keyed.groupBy(*by).agg(F.count("*").alias(f"_n{tag}"), *(q.alias(f"{k}{tag}") for k, q in zip(RATES, quartiles, strict=True)))
+        return made.select(*(F.col(c).alias(f"{c}{tag}") for c in by), *(c for c in made.columns if c not in by))
+
     every = counted.select(F.col(lang).cast("string").alias("_lang"), F.col(source).cast("string").alias("_source")).distinct()
-    joined = (
-        every.alias("e")
-        .join(fine.alias("f"), F.col("e._lang").eqNullSafe(F.col("f._lang")) & F.col("e._source").eqNullSafe(F.col("f._source")), "left")
-        .select("e._lang", "e._source", "f._n", *(f"f.{c}" for c in names))
-    )
-    joined = joined.join(rename(by_lang, "1"), F.col("_lang").eqNullSafe(F.col("_lang1")), "left").join(F.broadcast(rename(whole, "2")), F.lit(True), "left")
-    pick = lambda c: F.when(F.col("_n") >= least, F.col(c)).when(F.col("_n1") >= least, F.col(c + "1")).otherwise(F.col(c + "2"))
-    return joined.select("_lang", "_source", *(pick(c).alias(c) for c in names))
+    joined = every.join(grain(["_lang", "_source"], "0"), F.col("_lang").eqNullSafe(F.col("_lang0")) & F.col("_source").eqNullSafe(F.col("_source0")), "left")
+    joined = joined.join(grain(["_lang"], "1"), F.col("_lang").eqNullSafe(F.col("_lang1")), "left").join(F.broadcast(grain([], "2")), F.lit(True), "left")
+
+    def quartile(k: str, i: int) -> Column:
+        """That of the group, drawn to its language's by ``least`` documents, which is drawn to the whole table's likewise."""
+        value = F.get(F.col(f"{k}2"), i)
+        for tag in ("1", "0"):
+            n = F.coalesce(F.col(f"_n{tag}"), F.lit(0)).cast("double")
+            value = (n * F.coalesce(F.get(F.col(f"{k}{tag}"), i), F.lit(0.0)) + F.lit(float(least)) * value) / (n + F.lit(float(least)))
+        return value
+
+    bounds = []
+    for k, (both, slack) in RATES.items():
+        low, high = quartile(k, 0), quartile(k, 1)
+        reach = F.lit(fence) * (high - low) + F.lit(slack)
+        bounds.append((high + reach).alias(f"{k}_max"))
+        if both:
+            bounds.append((low - reach).alias(f"{k}_min"))
+    return joined.select("_lang", "_source", *bounds)
 
 
 def judge(counted: DataFrame, limits: DataFrame, verdict: str = "kept", lang: str = "lang", source: str = "source", prefix: str = "") -> DataFrame:
@@ -183,3 +185,41 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = written(with_counts(table(spark, sf_dir, "documents"), keep=["doc_id", "lang", "source"]), "quality-counts")
     judged = judge(counted, written(thresholds(counted), "quality-thresholds"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base_failed().alias("base_failed"), "kept")
+
+
+_SPACE = "[\\x20\\x09-\\x0D]"
+
+
+def _sql() -> str:
+    rate = {"symbol_rate": "n_symbols / greatest(text_chars, 1)", "dup_line_rate": "n_dup_lines / greatest(n_lines, 1)", "repeat_rate": "n_repeat_words / greatest(n_words, 1)", "word_length": "word_chars / greatest(n_words, 1)"}
+    quartiles = ", ".join(f"quantile_disc({k}, 0.25) AS {k}_1, quantile_disc({k}, 0.75) AS {k}_3" for k in RATES)
+
+    def drawn(own: str, n: str, coarser: str) -> str:
+        return f"(coalesce({n}, 0)::DOUBLE * coalesce({own}, 0.0) + {float(LEAST)}::DOUBLE * {coarser}) / (coalesce({n}, 0)::DOUBLE + {float(LEAST)}::DOUBLE)"
+
+    tests = []
+    for k, (both, slack) in RATES.items():
+        low, high = (drawn(f"g.{k}_{i}", "g.n", drawn(f"l.{k}_{i}", "l.n", f"a.{k}_{i}")) for i in (1, 3))
+        reach = f"({FENCE}::DOUBLE * ({high} - {low}) + {slack}::DOUBLE)"
+        tests.append(f"coalesce(r.{k} <= {high} + {reach}, true)")
+        if both:
+            tests.append(f"coalesce(r.{k} >= {low} - {reach}, true)")
+    return f"""
+WITH t AS (SELECT doc_id, lang, source, coalesce(text, '') AS t, list_filter(regexp_split_to_array(coalesce(text, ''), '{_SPACE}+'), lambda x: x <> '') AS w FROM documents),
+x AS (SELECT doc_id, i, CASE WHEN count(*) OVER (PARTITION BY doc_id, s) > 1 THEN 1 ELSE 0 END AS twice FROM (SELECT doc_id, i, w[i:i + 2] AS s FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM t))),
+v AS (SELECT doc_id, count(DISTINCT j) AS n FROM (SELECT doc_id, i + unnest([0, 1, 2]) AS j FROM x WHERE twice = 1) GROUP BY doc_id),
+b AS (SELECT doc_id, lang, source, len(w) AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars,
+        length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols, length(t) AS text_chars, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines, coalesce(v.n, 0) AS n_repeat_words
+      FROM t LEFT JOIN v USING (doc_id)),
+c AS (SELECT * EXCLUDE (lines), len(lines) AS n_lines, len(lines) - len(list_distinct(lines)) AS n_dup_lines, n_words < {MIN_WORDS} OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM b),
+r AS (SELECT *, {", ".join(f"{e} AS {k}" for k, e in rate.items())} FROM c),
+g AS (SELECT lang, source, count(*) AS n, {quartiles} FROM r WHERE NOT base_failed GROUP BY lang, source),
+l AS (SELECT lang, count(*) AS n, {quartiles} FROM r WHERE NOT base_failed GROUP BY lang),
+a AS (SELECT {quartiles} FROM r WHERE NOT base_failed)
+SELECT r.doc_id, r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed, NOT r.base_failed AND {" AND ".join(tests)} AS kept
+FROM r LEFT JOIN g ON r.lang IS NOT DISTINCT FROM g.lang AND r.source IS NOT DISTINCT FROM g.source LEFT JOIN l ON r.lang IS NOT DISTINCT FROM l.lang CROSS JOIN a
+"""
+
+
+#: Quantiles are exact in SQL, and in the sketches for groups of fewer than ``ACCURACY`` documents.
+SQL = _sql()

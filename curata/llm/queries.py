@@ -17,4 +17,4 @@ QUERIES = {
     "op10_line_dedup": line_dedup.query,
 }
 
-ORACLES: dict[str, str] = {"op10_line_dedup": line_dedup.SQL}
+ORACLES: dict[str, str] = {"op8_quality_rules": quality_rules.SQL, "op10_line_dedup": line_dedup.SQL}

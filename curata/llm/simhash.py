@@ -15,7 +15,9 @@ sends no more links than it has members.
 
 Nulls and texts without words have fingerprint zero and link like any other.
 Repeated rows share their fingerprint and component. A row without an id is in
-no group: its component is null, and it stays.
+no group: its component is null, and it stays. Only the id and the text are read, so
+other columns may have any name; an empty table gives no rows. Rows of a hot
+fingerprint (there are at most ``HOT`` of these) get their component by a broadcast.
 """
 
 from __future__ import annotations
@@ -29,12 +31,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from curata.llm.common import map_texts, table, written
+from curata.llm.common import map_texts, table, text_or_empty, written
 from curata.llm.components import components
 
 SHINGLE, SEED, BITS, MAX_DIFFERENT = 3, 42, 64, 3
 #: Distinct fingerprints that a block of the join may hold before it is divided.
 BLOCK_ROWS = 20_000
+#: A fingerprint that more than one in so many rows has is hot.
+HOT = 1_000
 #: Node pairs that the traversal expands at once; bounds its memory.
 FRONTIER = 200_000
 
@@ -84,6 +88,13 @@ class _Forest:
             up[x] = x = up[up[x]]
         return x
 
+    def roots(self, known: np.ndarray) -> np.ndarray:
+        """The root of each row, from roots known before."""
+        up = np.array(self.up, np.int64)
+        while not np.array_equal(up[known], known):
+            known = up[known]
+        return known
+
     def join(self, a: int, b: int) -> bool:
         a, b = self.root(a), self.root(b)
         self.up[max(a, b)] = min(a, b)
@@ -145,11 +156,19 @@ def forest_links(values: np.ndarray, block: np.ndarray) -> tuple[np.ndarray, np.
     order = np.lexsort((values, block))
     v, b = values[order], block[order]
     forest, left, right = _Forest(len(v)), [], []
+    roots = np.arange(len(v))
     for x, y in trie_links(v, b):
-        for i, j in zip(x.tolist(), y.tolist(), strict=True):
+        # links inside what is connected already go at once, whatever their number
+        a, c = roots[x], roots[y]
+        new = np.flatnonzero(a != c)
+        if not len(new):
+            continue
+        pairs, first = np.unique(np.stack([np.minimum(a[new], c[new]), np.maximum(a[new], c[new])]), axis=1, return_index=True)
+        for i, j, k in zip(*pairs.tolist(), new[first].tolist(), strict=True):
             if forest.join(i, j):
-                left.append(i)
-                right.append(j)
+                left.append(int(x[k]))
+                right.append(int(y[k]))
+        roots = forest.roots(roots)
     return order[np.array(left, np.int64)], order[np.array(right, np.int64)]
 
 
@@ -186,12 +205,18 @@ def link_fingerprints(nodes: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFra
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(``doc_id``, ``fp``, ``component_id``) for every row of ``docs``."""
-    marked = written(with_fingerprints(docs.select(doc_id, text), text, [doc_id]), "fingerprints")
-    nodes = marked.where(F.col(doc_id).isNotNull()).groupBy("fp").agg(F.min(doc_id).alias("node"))
-    roots = components(link_fingerprints(written(nodes, "fingerprint-nodes")))
-    named = nodes.join(roots, "node", "left").select("fp", F.coalesce("root", "node").alias("component_id"))
-    found = marked.join(named, "fp", "left")
-    return found.select(doc_id, "fp", F.when(F.col(doc_id).isNotNull(), F.col("component_id")).alias("component_id"))
+    name = "__doc"  # whatever the column's name, it is not that of the fingerprint
+    source = docs.select(F.col(f"`{doc_id}`").alias(name), text_or_empty(text).alias("__text"))
+    marked = written(with_fingerprints(source, "__text", [name]), "fingerprints")
+    nodes = written(marked.where(F.col(name).isNotNull()).groupBy("fp").agg(F.min(name).alias("node"), F.count("*").alias("n")), "fingerprint-nodes")
+    roots = components(link_fingerprints(nodes.select("node", "fp")))
+    named = nodes.join(roots, "node", "left").select("fp", "n", F.coalesce("root", "node").alias("component_id"))
+    rows = marked.where(F.col(name).isNotNull())
+    # fingerprints of over one in HOT rows: HOT at most, so they are broadcast and their rows stay where they are
+    hot = F.broadcast(named.crossJoin(F.broadcast(nodes.agg((F.sum("n") / HOT).alias("many")))).where("n > many").select("fp", "component_id"))
+    cold = rows.join(hot, "fp", "left_anti").join(named.select("fp", "component_id"), "fp", "left")
+    found = rows.join(hot, "fp").unionByName(cold).unionByName(marked.where(F.col(name).isNull()).withColumn("component_id", F.lit(None).cast(docs.schema[doc_id].dataType)))
+    return found.select(name, "fp", "component_id").withColumnRenamed(name, doc_id)
 
 
 def keep_first(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -11,7 +11,7 @@ for each task, which hold the counts over all documents of the pre-tokens that
 are frequent anywhere. The table affects speed only.
 
 Nulls and empty texts have no bytes and no tokens. Repeated rows are counted
-again. ``n_bytes`` and ``n_tokens`` take the place of columns of these names.
+again; an empty table gives no rows. A worker keeps the cache of one query, that of the last. ``n_bytes`` and ``n_tokens`` take the place of columns of these names.
 """
 
 from __future__ import annotations
@@ -98,7 +98,7 @@ def count_tokens(docs: DataFrame, model_file: str, text: str = "text", keep: lis
     sent = docs.sparkSession.sparkContext.broadcast([(p, known[p]) for p in frequent(docs, text, entries)])
 
     def make():
-        lengths = worker_cache(("token_counts", run), lambda: Lengths(model_file, dict(sent.value)))
+        lengths = worker_cache("token_counts", run, lambda: Lengths(model_file, dict(sent.value)))
         of = lengths.__getitem__
 
         def work(texts: list[str]) -> dict[str, pa.Array]:

@@ -7,8 +7,9 @@ table of labelled URLs; its weights become an array literal, so scoring is a map
 without a shuffle.
 
 A null URL, or one without ``://``, has an empty host and path; no rule fits it
-and the model's intercept decides (the table calls it ordinary). Repeated rows are judged alike. New columns
-take the place of columns of their names.
+and the model's intercept decides (the table calls it ordinary). Repeated rows are judged alike, an empty
+table gives no rows, and a URL of any length is judged as a whole. New columns take the
+place of columns of their names.
 """
 
 from __future__ import annotations
@@ -160,8 +161,11 @@ def buckets(host: Column, path: Column, sizes: Sequence[int] = SIZES, count: int
     """The buckets of all n-grams, repeats included."""
 
     def grams(text: Column, n: int, sign: str) -> Column:
-        starts = F.when(F.length(text) >= n, F.sequence(F.lit(1), F.length(text) - (n - 1))).otherwise(F.array().cast("array<int>"))
-        return F.transform(starts, lambda i: F.pmod(F.crc32(F.concat(F.lit(sign), F.substring(text, i, F.lit(n)).cast("binary"))), F.lit(count)).cast("int"))
+        def of(chars: Column) -> Column:  # a variable, so that the text is split once
+            starts = F.when(F.size(chars) >= n, F.sequence(F.lit(0), F.size(chars) - n)).otherwise(F.array().cast("array<int>"))
+            return F.transform(starts, lambda i: F.pmod(F.crc32(F.concat(F.lit(sign), *(F.get(chars, i + j) for j in range(n))).cast("binary")), F.lit(count)).cast("int"))
+
+        return F.flatten(F.transform(F.array(F.split(text, "")), of))
 
     ends = F.when(host == "", host).otherwise(F.concat(F.lit("^"), host, F.lit("$")))
     return F.concat(*(grams(ends, n, "h") for n in sizes), *(grams(path, n, "p") for n in sizes))
@@ -224,7 +228,7 @@ def rule_columns(host: Column, path: Column, rules: Sequence[tuple[str, str]]) -
 
 def judge_urls(pages: DataFrame, model: tuple[float, list[float]], url: str = "url", rules: Sequence[tuple[str, str]] = RULES) -> DataFrame:
     """``pages`` with ``host``, ``path``, ``rule``, ``score`` and ``verdict``."""
-    parts = pages.withColumn("host", host_of(F.col(url))).withColumn("path", path_of(F.col(url)))
+    parts = pages.withColumn("host", host_of(F.col(f"`{url}`"))).withColumn("path", path_of(F.col(f"`{url}`")))
     rule, verdict = rule_columns(F.col("host"), F.col("path"), rules)
     scored = parts.withColumns({"rule": rule, "score": score(F.col("host"), F.col("path"), *model)})
     return scored.withColumn("verdict", F.coalesce(verdict, F.when(F.col("score") >= BLOCK_FROM, "block").otherwise("allow")))
