@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -9,6 +11,11 @@ from pyspark.sql import functions as F
 WS = "[ \\t\\n\\r\\f\\x0B]"
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often ``use`` names it inside its own lambdas."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def truthy(col: Column) -> Column:
     """A string that is neither null nor empty, else null."""
     return F.nullif(col, F.lit(""))
@@ -79,33 +86,97 @@ dokumentation hilfe jaws
 """.split()
 
 
-def is_artifact(sentence: Column) -> Column:
-    """A sentence that is a leftover of markup, given cleaned or not."""
-    s = clean_line(sentence)
+def _looks_left_over(s: Column) -> Column:
     low = F.lower(s)
     return (s == "") | s.rlike(ELLIPSIS) | s.rlike(TABLE_MARK) | s.startswith("|") | low.startswith("hinweis:") | low.startswith("achtung:") | low.startswith("wichtig:")
 
 
+def is_artifact(sentence: Column) -> Column:
+    """A sentence that is a leftover of markup, given cleaned or not."""
+    return _looks_left_over(clean_line(sentence))
+
+
+def without_artifacts(values: Column) -> Column:
+    """The sentences that are no leftovers; each is cleaned once."""
+    marked = F.zip_with(values, F.transform(values, clean_line), lambda s, c: F.struct(s.alias("s"), _looks_left_over(c).alias("bad")))
+    return F.transform(F.filter(marked, lambda x: ~x["bad"]), lambda x: x["s"])
+
+
+def support_sentences(content: Column) -> Column:
+    """The sentences of a text that can support an answer."""
+    return without_artifacts(sentences(content))
+
+
 def has_blocking_artifact(text: Column) -> Column:
     s = clean_line(text)
     return s.rlike(ELLIPSIS) | s.rlike(TABLE_MARK)
 
 
-def distinct_by_lower(values: Column) -> Column:
-    """The first of each set of values that are equal in lower case, in order."""
-    return F.filter(values, lambda v, i: F.array_position(F.transform(values, F.lower), F.lower(v)) == i + 1)
+def distinct_by_lower(values: Column, limit: int = 1 << 30) -> Column:
+    """The first of each set of values that are equal in lower case, in order; at most ``limit``."""
+
+    def of(both: Column) -> Column:
+        keys = F.slice(F.array_distinct(both["low"]), 1, limit)
+        return F.transform(keys, lambda k: F.get(both["as_is"], (F.array_position(both["low"], k) - 1).cast("int")))
+
+    return bound(F.struct(values.alias("as_is"), F.transform(values, F.lower).alias("low")), of)
+
+
+def first_distinct_sentences(content: Column, summary: Column, limit: int) -> Column:
+    """The summary, unless the first sentence says it, and the distinct sentences that don't end in a colon."""
+    return first_distinct(support_sentences(content), clean_line(F.coalesce(summary, F.lit(""))), limit)
+
+
+def first_distinct(clean: Column, head: Column, limit: int) -> Column:
+    """:func:`first_distinct_sentences` of sentences and a summary that are clean."""
+    first = F.lower(F.coalesce(F.get(clean, F.lit(0)), F.lit("")))
+    known = ~head.rlike("\\.\\.\\.|…") & (first != "") & (first.startswith(F.lower(head)) | first.contains(F.substring(F.lower(head), 1, 48)))
+    lead = F.when((head != "") & ~known, F.array(head)).otherwise(F.array().cast("array<string>"))
+    return distinct_by_lower(F.concat(lead, F.filter(clean, lambda s: ~s.endswith(":"))), limit)
+
+
+def compact_text(col: Column) -> Column:
+    """Lines stripped, one line feed at a line's end, runs of blank lines made one, trimmed."""
+    lines = F.transform(F.split(F.regexp_replace(col, "\r\n?", "\n"), "\n"), lambda x: F.regexp_replace(x, f"^{WS}+|{WS}+$", ""))
+    return F.regexp_replace(F.regexp_replace(F.array_join(lines, "\n"), "\n{3,}", "\n\n"), "^\n+|\n+$", "")
+
+
+def safe_slug(col: Column) -> Column:
+    """Characters that are neither letters, digits, ``.``, ``_`` nor ``-`` to ``_`` each; letters of all scripts stay."""
+    return F.regexp_replace(col, r"[^\p{L}\p{N}._-]", "_")
+
+
+def ascii_slug(col: Column) -> Column:
+    """Runs of characters other than ASCII letters, digits, ``.``, ``_`` and ``-`` to one ``_``."""
+    return F.regexp_replace(col, "[^A-Za-z0-9._-]+", "_")
+
+
+def line_steps(content: Column) -> Column:
+    """The texts of the lines ``N. text``, stripped."""
+    lines = F.transform(F.split(content, "\n"), lambda x: F.regexp_replace(x, f"^{WS}+|{WS}+$", ""))
+    return F.transform(F.filter(lines, lambda x: x.rlike(r"^\d+\.\s+")), lambda x: F.regexp_replace(x, r"^\d+\.\s+", ""))
+
+
+def loose_steps(content: Column) -> Column:
+    """As :func:`line_steps`, the space behind the number being optional and the text not empty."""
+    lines = F.transform(F.split(content, "\n"), lambda x: F.regexp_extract(x, r"^\s*\d+\.\s*(.+?)\s*$", 1))
+    return F.filter(lines, lambda x: x != "")
 
 
 def shortcuts(content: Column) -> Column:
     """Bold spans that name a shortcut: collapsed, valid, distinct in order."""
-    found = F.transform(F.regexp_extract_all(content, F.lit(r"\*\*([^*]+)\*\*"), F.lit(1)), collapse)
-    good = F.filter(found, lambda v: (clean_line(v) != "") & ~clean_line(v).endswith(":") & ~clean_line(v).rlike(NOTE_LABEL))
-    return distinct_by_lower(good)
+    found = F.transform(F.regexp_extract_all(content, F.lit(r"\*\*([^*]+)\*\*"), F.lit(1)), lambda v: F.struct(collapse(v).alias("v"), clean_line(v).alias("c")))
+    good = F.filter(found, lambda x: (x["c"] != "") & ~x["c"].endswith(":") & ~x["c"].rlike(NOTE_LABEL))
+    return distinct_by_lower(F.transform(good, lambda x: x["v"]))
+
+
+# Fixed value: what a word of the overlap measures is.
+WORD = r"[A-Za-zÄÖÜäöüß0-9+\-]{3,}"
 
 
 def words(text: Column, stopwords: list[str] | tuple[str, ...] = tuple(STOPWORDS)) -> Column:
     """The set of words of three characters or more, case-folded, without stop words."""
-    folded = F.transform(F.regexp_extract_all(text, F.lit(r"[A-Za-zÄÖÜäöüß0-9+\-]{3,}"), F.lit(0)), lambda w: F.replace(F.lower(w), F.lit("ß"), F.lit("ss")))
+    folded = F.transform(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), lambda w: F.replace(F.lower(w), F.lit("ß"), F.lit("ss")))
     return F.array_except(F.array_distinct(folded), F.array(*(F.lit(w) for w in stopwords)))
 
 
@@ -133,13 +204,15 @@ def join_snippets(snippets: Column, max_chars: int = 340) -> Column:
     return F.when(done != "", done).otherwise(F.coalesce(F.get(snippets, F.lit(0)), F.lit("")))
 
 
+# The patterns of chunk kinds, in their order.
+KIND_WARNING = r"(?iuU)\b(?:Hinweis|Achtung|Warnung|Wichtig)\b"
+KIND_FAQ = r"(?iuU)\bFAQ\b"
+KIND_TABLE = r"(?iuU)\b(?:Tabelle|Spalte|Spalten)\b"
+KIND_PROCEDURE = r"(?m)^\s*\d+\.\s+"
+KIND_REFERENCE = r"^\s*(?:[-*+]\s+|\d+\.\s+)"
+
+
 def chunk_type(title: Column, content: Column) -> Column:
     """The first kind that fits: warning, faq, table, procedure, reference, else concept."""
-    return (
-        F.when(content.rlike(r"(?iuU)\b(?:Hinweis|Achtung|Warnung|Wichtig)\b"), "warning")
-        .when(title.rlike(r"(?iuU)\bFAQ\b"), "faq")
-        .when(content.contains("|") & title.rlike(r"(?iuU)\b(?:Tabelle|Spalte|Spalten)\b"), "table")
-        .when(content.rlike(r"(?m)^\s*\d+\.\s+"), "procedure")
-        .when(content.rlike(r"^\s*(?:[-*+]\s+|\d+\.\s+)"), "reference")
-        .otherwise("concept")
-    )
+    tests = ((content.rlike(KIND_WARNING), "warning"), (title.rlike(KIND_FAQ), "faq"), (content.contains("|") & title.rlike(KIND_TABLE), "table"), (content.rlike(KIND_PROCEDURE), "procedure"), (content.rlike(KIND_REFERENCE), "reference"))
+    return F.coalesce(*(F.when(test, kind) for test, kind in tests), F.lit("concept"))

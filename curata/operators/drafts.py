@@ -36,13 +36,8 @@ def with_parts(chunks: DataFrame) -> DataFrame:
     """``chunks`` with what several drafts need, each computed once: a column at a time, so that expressions stay small."""
     limited = lambda col: _first(F.filter(col, lambda s: s.rlike(tx.LIMITATION)))
     df = chunks.withColumns({"_title": tx.strip_markdown(F.col("section_title")), "_cuts": tx.shortcuts(F.col("content")), "_sent": tx.sentences(F.col("content")), "_bul": tx.bullets(F.col("content")), "_num": tx.numbered_steps(F.col("content")), "_sum": tx.clean_line(F.coalesce("summary", F.lit("")))})
-    df = df.withColumn("_clean", F.filter("_sent", lambda s: ~tx.is_artifact(s)))
-    first = F.lower(F.coalesce(_first(F.col("_clean")), F.lit("")))
-    known = ~F.col("_sum").rlike("\\.\\.\\.|…") & (first != "") & (first.startswith(F.lower("_sum")) | first.contains(F.substring(F.lower("_sum"), 1, 48)))
-    lead = F.when((F.col("_sum") != "") & ~known, F.array("_sum")).otherwise(F.array().cast("array<string>"))
-    rest = F.filter("_clean", lambda s: ~s.endswith(":"))
-    df = df.withColumn("_lead", lead).withColumn("_all", F.concat("_lead", rest))
-    df = df.withColumn("_distinct", tx.distinct_by_lower(F.col("_all")))
+    df = df.withColumn("_clean", tx.without_artifacts(F.col("_sent")))
+    df = df.withColumn("_distinct", tx.first_distinct(F.col("_clean"), F.col("_sum"), 4))
     six = F.slice("_clean", 1, 6)
     df = df.withColumns({"_d3": F.slice("_distinct", 1, 3), "_d4": F.slice("_distinct", 1, 4), "_limit6": limited(six), "_act": F.filter(six, lambda s: s.rlike(tx.ACTION))})
     df = df.withColumn("_limit4", limited(F.col("_d4")))
@@ -92,7 +87,7 @@ def drafts(chunks: DataFrame) -> DataFrame:
     limit, act = F.col("_limit6"), F.col("_act")
     pressing = kind.isin("warning", "procedure")
     lead = F.when(limit.isNotNull(), F.array(limit)).otherwise(F.array().cast("array<string>"))
-    chosen = F.slice(tx.distinct_by_lower(F.concat(lead, act)), 1, 2)
+    chosen = tx.distinct_by_lower(F.concat(lead, act), 2)
     told = _cat("Laut Dokumentation sollten Sie Folgendes pruefen oder beachten: ", F.array_join(chosen, " "))
     trouble = _draft(
         "troubleshooting", (pressing | F.lower("content").rlike(tx.LIMITATION)) & (pressing | limit.isNotNull()) & ((F.size(act) > 0) | (kind != "concept")) & (F.size(chosen) > 0),

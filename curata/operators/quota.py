@@ -8,17 +8,19 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def round_robin(df: DataFrame, bucket: Sequence[str], group: str, order: Sequence[Column], turn: Sequence[str], quota: int) -> DataFrame:
+def round_robin(df: DataFrame, bucket: Sequence[str], group: str, order: Sequence[Column], turn: Sequence[str], quota: int, keep: str | None = None) -> DataFrame:
     """The first ``quota`` rows of each bucket when its groups take turns.
 
     Round k takes the k-th best row of each group, groups in the order of
     ``turn``. A row can only be chosen in the first ``quota`` rounds, so the
-    second window sees at most ``quota`` rows of each group.
+    second window sees at most ``quota`` rows of each group. ``keep`` names the
+    column of a row's place in its bucket.
     """
     in_group = Window.partitionBy(*bucket, group).orderBy(*order)
     ranked = df.withColumn("_round", F.row_number().over(in_group)).where(F.col("_round") <= quota)
     in_bucket = Window.partitionBy(*bucket).orderBy("_round", *turn)
-    return ranked.withColumn("_place", F.row_number().over(in_bucket)).where(F.col("_place") <= quota).drop("_round", "_place")
+    dealt = ranked.withColumn("_place", F.row_number().over(in_bucket)).where(F.col("_place") <= quota).drop("_round")
+    return dealt.withColumnRenamed("_place", keep) if keep else dealt.drop("_place")
 
 
 def balanced_pick(df: DataFrame, group: str, order: Sequence[Column], n: int, used: DataFrame | None = None) -> DataFrame:
@@ -45,21 +47,70 @@ def picks(*parts: DataFrame, group: str) -> DataFrame:
     return whole.groupBy(group).agg(F.count("*").alias("picked"))
 
 
-def top_off(df: DataFrame, selected: DataFrame, bucket: Column, group: str, chunk: str, score: str, key: str, target: int) -> DataFrame:
-    """Rows that fill one bucket up to ``target``.
+def _one_of(column: str, values: Sequence[object]) -> Column:
+    return F.col(column).isin(list(values)) if values else F.lit(False)
 
-    Candidates share no chunk with what is selected, which is frozen at the
-    bucket's start; they come in the order of their group's selected rows, then
-    score, group and key. Raises if there are too few.
+
+def top_off(rows: DataFrame, seeds: DataFrame, targets: dict[tuple[str, str], int], split: str, task: str, group: str, chunk: str, score: str, key: str) -> DataFrame:
+    """Seeds, and rows that fill each bucket of ``targets`` up, in their order.
+
+    ``rows`` are the candidates, materialised (they are read once for each bucket). A candidate
+    shares no chunk with what is selected, which is frozen at the bucket's start; candidates
+    come in the order of their group's selected rows, then score, group and key. What is
+    selected is as small as the targets and kept on the driver. Raises where too few are left.
+    """
+    spark, columns = rows.sparkSession, rows.columns
+    chosen = [r.asDict() for r in seeds.select(columns).collect()]
+    for (s, t), target in targets.items():
+        inside = (F.col(split) == s) & (F.col(task) == t)
+        need = target - sum(r[split] == s and r[task] == t for r in chosen)
+        if need <= 0:
+            continue
+        free = rows.where(inside & ~_one_of(key, [r[key] for r in chosen]) & ~F.coalesce(_one_of(chunk, [r[chunk] for r in chosen]), F.lit(False)))
+        taken: dict[object, int] = {}
+        for r in chosen:
+            taken[r[group]] = taken.get(r[group], 0) + 1
+        have = F.coalesce(F.create_map(*(F.lit(x) for kv in taken.items() for x in kv))[F.col(group)], F.lit(0)) if taken else F.lit(0)
+        found = free.withColumn("_have", have).orderBy("_have", F.desc(score), group, key).limit(need).drop("_have").collect()
+        if len(found) < need:
+            raise ValueError(f"only {len(found)} of {need} rows can be added to {s}/{t}")
+        chosen += [r.asDict() for r in found]
+    return spark.createDataFrame([tuple(r[c] for c in columns) for r in chosen], rows.schema)
+
+
+def wave(candidates: DataFrame, targets: dict[tuple[str, str], int], tasks: Sequence[str], excluded: DataFrame | None = None) -> tuple[DataFrame, dict[tuple[str, str], int]]:
+    """A wave of several tasks, and what each bucket lacks.
+
+    ``candidates`` (split, task, doc, chunk, score, tie, turn) are materialised and have at most one
+    row a task and chunk. Tasks come in their order; within one, documents take turns
+    (see :func:`round_robin`). A chunk that was selected is spent for later tasks; one that
+    a task only might have used is not. Splits share no chunk, so both are dealt at once.
+    What is selected is as small as the targets and kept on the driver.
     """
-    have = selected.where(bucket).count()
-    need = max(0, target - have)
-    free = df.where(bucket).join(selected.select(key), key, "left_anti").join(selected.select(chunk).distinct(), chunk, "left_anti")
-    counted = free.join(picks(selected, group=group), group, "left")
-    found = counted.orderBy(F.coalesce("picked", F.lit(0)), F.desc(score), group, key).limit(need).select(*df.columns)
-    if found.count() < need:
-        raise ValueError(f"only {found.count()} of {need} rows can be added")
-    return found
+    spark = candidates.sparkSession
+    pool = candidates if excluded is None else candidates.join(excluded, "chunk", "left_anti")
+    chosen: list[tuple] = []
+    for t in tasks:
+        quota = max(n for (_, task), n in targets.items() if task == t)
+        free = pool.where((F.col("task") == t) & ~_one_of("chunk", [r[3] for r in chosen]))
+        dealt = round_robin(free, ["split"], "doc", [F.desc("score"), F.asc("tie")], ["turn", "doc"], quota, keep="place")
+        some = F.lit(False)
+        for (s, task), n in targets.items():
+            if task == t:
+                some |= (F.col("split") == s) & (F.col("place") <= n)
+        chosen += [tuple(r) for r in dealt.where(some).select("split", "task", "doc", "chunk", "score", "place").collect()]
+    lacks = {k: n - sum((r[0], r[1]) == k for r in chosen) for k, n in targets.items()}
+    kinds = candidates.schema
+    return spark.createDataFrame(chosen, f"split string, task string, doc {kinds['doc'].dataType.simpleString()}, chunk {kinds['chunk'].dataType.simpleString()}, score {kinds['score'].dataType.simpleString()}, place int"), lacks
+
+
+def chunk_exclusions(*parts: DataFrame, column: str = "source_chunk_ids") -> DataFrame:
+    """(``chunk``): the chunks that any row of the parts uses."""
+    whole = None
+    for p in parts:
+        ids = p.select(F.explode(column).alias("chunk"))
+        whole = ids if whole is None else whole.unionByName(ids)
+    return whole.distinct()
 
 
 def hash_split(key: Column, modulo: int = 7, remainder: int = 0) -> Column:

@@ -16,6 +16,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from curata.operators.numbering import batches
+
 
 class Stub:
     """Answers each request with its own draft."""
@@ -87,14 +89,8 @@ def client(name: str, **options) -> object:
 
 
 def with_batches(jobs: DataFrame, size: int, order: str = "job_id", group: str | None = None) -> DataFrame:
-    """``jobs`` with a ``batch`` key: consecutive rows in fixed numbers, within ``group`` if given.
-
-    Rows are numbered within hash ranges of the key, so that no single task has to order them all.
-    """
-    slots = [F.pmod(F.xxhash64(order), F.lit(64)), *([F.col(group)] if group else [])]
-    w = Window.partitionBy(*slots).orderBy(order)
-    number = F.floor((F.row_number().over(w) - 1) / size).cast("string")
-    return jobs.withColumn("batch", F.concat_ws(":", *(s.cast("string") for s in slots), number))
+    """``jobs`` with a ``batch`` key: consecutive rows in fixed numbers, groups one after the other if given."""
+    return batches(jobs, size, order, group).withColumn("batch", F.col("batch").cast("string"))
 
 
 RESPONSES = "batch string, job_id string, text string, failure string, prompt_chars long, batch_prompt_chars long, batch_size int"

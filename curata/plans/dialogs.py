@@ -76,8 +76,9 @@ def overlap_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def benchmark_line_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines that documents share with benchmark items, by item; lines are compared by key."""
-    lines = lambda df, i: df.select(i, F.explode(F.split("text", "\n")).alias("line")).select(i, normalized_key(F.col("line")).alias("key")).where(F.length("key") >= 20).distinct()
-    docs, bench = lines(table(spark, sf_dir, "documents"), "doc_id"), lines(table(spark, sf_dir, "benchmark"), "item_id")
+    lines = lambda df, i: df.select(i, F.explode(F.split("text", "\n")).alias("line")).select(i, normalized_key(F.col("line")).alias("key")).where(F.length("key") >= 20)
+    # the benchmark's lines are few: the optimizer broadcasts them if their size allows, and only hits are grouped
+    docs, bench = lines(table(spark, sf_dir, "documents"), "doc_id"), lines(table(spark, sf_dir, "benchmark"), "item_id").distinct()
     return docs.join(bench, "key").groupBy("item_id").agg(F.countDistinct("doc_id").alias("n_docs"), F.countDistinct("key").alias("n_lines"))
 
 

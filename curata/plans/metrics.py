@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from curata.functions.hashing import hash_mod, stable_hash
-from curata.functions.text import normalized_key
+from curata.functions.text import normalized_key, preview
 from curata.session import table
 
 KEY_SQL = "replace(lower(trim(regexp_replace(coalesce({0}, ''), '[ \\t\\n\\r\\f\\x0B]+', ' ', 'g'))), 'ß', 'ss')"
@@ -37,16 +37,20 @@ c AS (SELECT conv_id,
 
 
 def repeated_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Prompt openings (five characters) of several conversations: the 20 most repeated, with their range of conversations."""
-    c = first_and_last(spark, sf_dir).where("prompt is not null").select("conv_id", F.substring(normalized_key(F.col("prompt")), 1, 5).alias("key"), F.sha2(normalized_key(F.col("answer")), 256).alias("a"))
-    firsts = c.groupBy("key").agg(F.count("*").alias("n"), F.countDistinct("a").alias("n_answers"), F.min("conv_id").alias("first_conv"), F.max("conv_id").alias("last_conv"))
-    return firsts.where("n > 1").orderBy(F.desc("n"), "key").limit(20).select(F.col("key").alias("prompt"), "n", "n_answers", "first_conv", "last_conv")
+    """User messages that occur several times, compared whole: the 20 most repeated, with the roles' answers and the first ten places."""
+    conv = table(spark, sf_dir, "conversations")
+    after = Window.partitionBy("conv_id").orderBy("turn")
+    c = conv.withColumn("answer", F.lead("text").over(after)).where("role = 'user'").select(F.format_string("%d/%d", "conv_id", "turn").alias("id"), F.struct("conv_id", "turn").alias("at"), normalized_key(F.col("text")).alias("key"), F.sha2(normalized_key(F.col("answer")), 256).alias("a"))
+    # a frequent prompt keeps its ten first places, whatever their number
+    ranked = c.withColumn("_n", F.row_number().over(Window.partitionBy("key").orderBy("at")))
+    firsts = ranked.groupBy("key").agg(F.count("*").alias("n"), F.countDistinct("a").alias("n_answers"), F.array_sort(F.collect_list(F.when(F.col("_n") <= 10, F.struct("at", "id")))).alias("ids")).where("n > 1")
+    return firsts.orderBy(F.desc("n"), "key").limit(20).select(F.sha2("key", 256).alias("prompt_hash"), preview(F.col("key"), 180).alias("prompt"), "n", "n_answers", F.array_join("ids.id", ",").alias("first_ids"))
 
 
 def duplicate_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pairs of prompt and answer openings (two characters) that several conversations share."""
-    c = first_and_last(spark, sf_dir).select("conv_id", F.sha2(F.concat_ws("\u0001", F.substring(normalized_key(F.col("prompt")), 1, 2), F.substring(normalized_key(F.col("answer")), 1, 2)), 256).alias("pair"))
-    return c.groupBy("pair").agg(F.count("*").alias("n"), F.min("conv_id").alias("first_conv")).where("n > 1")
+    """Pairs of text and source that several documents share, compared whole, with the excess of each language."""
+    pairs = table(spark, sf_dir, "documents").select("doc_id", "lang", F.sha2(F.concat_ws("\u0001", normalized_key(F.col("source")), normalized_key(F.col("text"))), 256).alias("pair"))
+    return pairs.groupBy("pair").agg(F.count("*").alias("n"), F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("last_doc"), F.countDistinct("lang").alias("n_langs")).where("n > 1")
 
 
 def length_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -117,8 +121,6 @@ def source_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stratified_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dataset report: the first two documents of each language and source."""
-    from pyspark.sql import Window
-
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars")
     return docs.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "source").orderBy("doc_id"))).where("rank <= 2").withColumn("rank", F.col("rank").cast("long"))
 
@@ -130,14 +132,13 @@ QUERIES = {
 
 ORACLES = {
     "dup_excess_by_lang": f"SELECT lang, count(*) AS n_rows, count(DISTINCT {KEY_SQL.format('text')}) AS n_distinct, count(*) - count(DISTINCT {KEY_SQL.format('text')}) AS excess FROM documents GROUP BY lang",
-    "repeated_prompts": f"""WITH {CONV_SQL},
-        k AS (SELECT conv_id, substr({KEY_SQL.format('prompt')}, 1, 5) AS key, {KEY_SQL.format('answer')} AS a FROM c WHERE prompt IS NOT NULL)
-        SELECT key AS prompt, n, n_answers, first_conv, last_conv FROM
-        (SELECT key, count(*) AS n, count(DISTINCT a) AS n_answers, min(conv_id) AS first_conv, max(conv_id) AS last_conv FROM k GROUP BY key HAVING count(*) > 1)
-        ORDER BY n DESC, key LIMIT 20""",
-    "duplicate_pairs": f"""WITH {CONV_SQL}
-        SELECT sha256(substr({KEY_SQL.format('prompt')}, 1, 2) || chr(1) || substr({KEY_SQL.format('answer')}, 1, 2)) AS pair, count(*) AS n, min(conv_id) AS first_conv
-        FROM c GROUP BY 1 HAVING count(*) > 1""",
+    "repeated_prompts": f"""WITH t AS (SELECT *, lead(text) OVER (PARTITION BY conv_id ORDER BY turn) AS answer FROM conversations),
+        k AS (SELECT conv_id, turn, {KEY_SQL.format('text')} AS key, {KEY_SQL.format('answer')} AS a FROM t WHERE role = 'user'),
+        g AS (SELECT key, count(*) AS n, count(DISTINCT a) AS n_answers, list(conv_id || '/' || turn ORDER BY conv_id, turn)[1:10] AS ids FROM k GROUP BY key HAVING count(*) > 1)
+        SELECT sha256(key) AS prompt_hash, CASE WHEN length(key) <= 180 THEN key ELSE substr(key, 1, 177) || '...' END AS prompt, n, n_answers, array_to_string(ids, ',') AS first_ids
+        FROM g ORDER BY n DESC, key LIMIT 20""",
+    "duplicate_pairs": f"""SELECT sha256({KEY_SQL.format('source')} || chr(1) || {KEY_SQL.format('text')}) AS pair, count(*) AS n, min(doc_id) AS first_doc, max(doc_id) AS last_doc, count(DISTINCT lang) AS n_langs
+        FROM documents GROUP BY 1 HAVING count(*) > 1""",
     "length_stats": """SELECT lang, count(*) AS n_rows, median(n) AS median_len, quantile_disc(n, 0.95) AS p95_len, quantile_disc(n, 0.99) AS p99_len, max(n) AS max_len
         FROM (SELECT lang, length(coalesce(text, '')) AS n FROM documents) GROUP BY lang""",
     "top_prefixes": f"""SELECT prefix, n FROM (SELECT substr({KEY_SQL.format('text')}, 1, 64) AS prefix, count(*) AS n, min((conv_id, turn)) AS seen

@@ -93,9 +93,9 @@ def canonical_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def split_overlap_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Openings of prompts, answers and pairs: how many each split has and how many both have."""
+    """Prompts, answers and pairs, compared whole: how many each split has and how many both have."""
     c = first_and_last(spark, sf_dir).withColumn("e", hash_split(F.col("conv_id"), 3) == "eval")
-    p, a = F.substring(normalized_key(F.col("prompt")), 1, 6), F.substring(normalized_key(F.col("answer")), 1, 6)
+    p, a = normalized_key(F.col("prompt")), normalized_key(F.col("answer"))
     long = c.select("e", F.explode(F.create_map(F.lit("prompt"), p, F.lit("answer"), a, F.lit("pair"), F.concat(p, F.lit("\u0001"), a))).alias("kind", "key"))
     sides = long.groupBy("kind", "key").agg(F.max("e").alias("in_eval"), F.max(~F.col("e")).alias("in_train"))
     return sides.groupBy("kind").agg(F.count_if("in_train").alias("n_train"), F.count_if("in_eval").alias("n_eval"), F.count_if(F.col("in_train") & F.col("in_eval")).alias("n_both"))
@@ -165,7 +165,6 @@ QUERIES = {
 }
 
 _T = "lower(trim(coalesce(text, '')))"
-_P6 = lambda c: f"substr({KEY_SQL.format(c)}, 1, 6)"
 _AT = lambda p: f"min(len) FILTER (WHERE upto > round_even({p / 100} * (total - 1), 0))"
 ORACLES = {
     "strict_relaxed_pools": f"""WITH {_JOBS}, p AS (SELECT *, CASE WHEN score >= 90 THEN 'strict' ELSE 'relaxed' END AS pool FROM j WHERE score >= 70)
@@ -187,7 +186,7 @@ ORACLES = {
         CASE WHEN length({_T}) < 40 THEN 'stub' END]) AS flag FROM conversations) WHERE flag IS NOT NULL GROUP BY ALL""",
     "canonical_rows": """SELECT lang, CASE WHEN quality = 1 THEN 'reviewed' ELSE 'missing' END AS status, CASE WHEN toxic = 1 THEN 'flagged' ELSE source END AS origin, count(*) AS n
         FROM documents LEFT JOIN labels USING (doc_id) GROUP BY ALL""",
-    "split_overlap_metrics": f"""WITH {CONV_SQL}, k AS (SELECT {HASH_SQL.format('conv_id::VARCHAR')} % 3 = 0 AS e, {_P6('prompt')} AS p, {_P6('answer')} AS a FROM c),
+    "split_overlap_metrics": f"""WITH {CONV_SQL}, k AS (SELECT {HASH_SQL.format('conv_id::VARCHAR')} % 3 = 0 AS e, {KEY_SQL.format('prompt')} AS p, {KEY_SQL.format('answer')} AS a FROM c),
         l AS (SELECT e, 'prompt' AS kind, p AS key FROM k UNION ALL SELECT e, 'answer', a FROM k UNION ALL SELECT e, 'pair', p || chr(1) || a FROM k),
         s AS (SELECT kind, key, max(e) AS in_eval, max(NOT e) AS in_train FROM l GROUP BY ALL)
         SELECT kind, count(*) FILTER (WHERE in_train) AS n_train, count(*) FILTER (WHERE in_eval) AS n_eval, count(*) FILTER (WHERE in_train AND in_eval) AS n_both FROM s GROUP BY kind""",

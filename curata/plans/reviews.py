@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from curata.functions.hashing import hash_mod
 from curata.operators import review
+from curata.operators.numbering import batches
 from curata.plans.metrics import CONV_SQL, HASH_SQL, first_and_last
 from curata.session import table
 
@@ -51,10 +52,10 @@ def artifact_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def promote_disjoint(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Promoted answers whose chunk (the prompt's opening) is in both splits, which an export must refuse."""
+    """Promoted answers whose chunk (ten conversations share one) is in both splits, which an export must refuse."""
     r = review.auto_review(_judged(spark, sf_dir), "answer", "decision", "score")
-    p = review.promote(r, ["codex_reviewed"], "answer").withColumns({"split": F.when(_h("conv_id", "split", 7) == 0, "eval").otherwise("train"), "chunk": F.substring("prompt", 1, 3)})
-    return review.split_overlap(p.where("chunk is not null"), "split", "chunk")
+    p = review.promote(r, ["codex_reviewed"], "answer").withColumns({"split": F.when(_h("conv_id", "split", 7) == 0, "eval").otherwise("train"), "chunk": F.floor(F.col("conv_id") / 10)})
+    return review.split_overlap(p, "split", "chunk")
 
 
 def _run(spark: SparkSession, sf_dir: str, run: str) -> DataFrame:
@@ -117,10 +118,7 @@ def benchmark_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def microbatch_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Batches of eight rows within each language; costs of a batch apportioned to its rows, at least one each."""
-    from pyspark.sql import Window
-
-    docs = table(spark, sf_dir, "documents").select("lang", "doc_id", "n_chars")
-    b = docs.withColumn("batch", F.floor((F.row_number().over(Window.partitionBy("lang").orderBy("doc_id")) - 1) / 8))
+    b = batches(table(spark, sf_dir, "documents").select("lang", "doc_id", "n_chars"), 8, "doc_id", "lang")
     per = b.groupBy("lang", "batch").agg(F.count("*").alias("n"), F.sum("n_chars").alias("chars"))
     per = per.withColumn("share", F.greatest(F.lit(1), F.round(F.col("chars") / F.col("n")).cast("long")))
     return per.groupBy("lang").agg(F.count("*").alias("n_batches"), F.sum("n").alias("n_rows"), F.sum("chars").alias("n_chars"), F.sum("share").alias("sum_share"), F.round(F.avg("n"), 2).alias("avg_batch"))
@@ -177,8 +175,8 @@ ORACLES = {
     "auto_review": f"{_JUDGED} SELECT conv_id, final_decision, review_status, array_to_string(reasons, '; ') AS reasons FROM v",
     "artifact_gate": f"""SELECT lang, coalesce(reason, 'none') AS reason, count(*) AS n FROM
         (SELECT lang, unnest(CASE WHEN len(r) = 0 THEN [NULL] ELSE r END) AS reason FROM (SELECT lang, {_reasons('text')} AS r FROM documents)) GROUP BY ALL""",
-    "promote_disjoint": f"""{_JUDGED}, p AS (SELECT substr(prompt, 1, 3) AS chunk, {_hs('conv_id', 'split', 7)} = 0 AS is_eval FROM v WHERE review_status = 'codex_reviewed')
-        SELECT chunk, count(*) FILTER (WHERE NOT is_eval) AS n_train, count(*) FILTER (WHERE is_eval) AS n_eval FROM p WHERE chunk IS NOT NULL GROUP BY chunk HAVING n_train > 0 AND n_eval > 0""",
+    "promote_disjoint": f"""{_JUDGED}, p AS (SELECT conv_id // 10 AS chunk, {_hs('conv_id', 'split', 7)} = 0 AS is_eval FROM v WHERE review_status = 'codex_reviewed')
+        SELECT chunk, count(*) FILTER (WHERE NOT is_eval) AS n_train, count(*) FILTER (WHERE is_eval) AS n_eval FROM p GROUP BY chunk HAVING n_train > 0 AND n_eval > 0""",
     "judge_delta": f"""{_PAIR} SELECT task, count(*) AS n, count(*) FILTER (WHERE d1 <> d2) AS n_changed, count(*) FILTER (WHERE s2 > s1) AS n_improved,
         count(*) FILTER (WHERE s2 < s1) AS n_worsened, count(*) FILTER (WHERE s2 = s1) AS n_same, round(avg(s2 - s1), 2) AS mean_delta FROM j GROUP BY task""",
     "pair_audit": f"""{_PAIR}, t AS (SELECT unnest([CASE WHEN task = 1 THEN 'focus_task' END, CASE WHEN d1 <> d2 THEN 'decision_disagreement' END, CASE WHEN abs(s2 - s1) >= 20 THEN 'high_score_delta' END]) AS tag, d1 || '->' || d2 AS pair FROM j)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,3 +29,15 @@ def local_session(cpus: int | str = 8, partitions: int = 8) -> SparkSession:
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the driver's tables; the path may be of any file system Spark reads."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def frozen(df: DataFrame) -> DataFrame:
+    """``df`` computed once and kept in the shared checkpoint folder: a later read sees the same rows, whatever executor is lost."""
+    spark = df.sparkSession
+    context = spark.sparkContext._jsc.sc()
+    if not context.getCheckpointDir().isDefined():
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        spark.sparkContext.setCheckpointDir(named or tempfile.mkdtemp(prefix="curata-"))
+    return df.checkpoint()

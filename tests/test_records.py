@@ -148,15 +148,31 @@ def test_profiles():
     stage = {"profile_name": "p", "backend": "http", "model": "m", "batch_size": 4, "max_attempts": 2, "timeout_sec": 9, "http": {"api_base": "u", "api_key_env": "NO_SUCH_KEY"}}
     config = {"version": 1, "profile_sets": {"s": {"stages": dict.fromkeys(profiles.STAGES, stage)}}}
     assert profiles.resolve(config, "s")["judge"].batch_size == 4
-    with pytest.raises(ValueError, match="requires environment variable"):
+    with pytest.raises(ValueError, match="environment lacks NO_SUCH_KEY"):
         profiles.resolve(config, "s", check_env=True)
-    with pytest.raises(ValueError, match="unknown profile set"):
+    with pytest.raises(ValueError, match="t: stage judge isn.t configured"):
         profiles.resolve(config, "t")
-    for change, text in ({"batch_size": 0}, "integer >= 1"), ({"backend": "x"}, "must be one of"), ({"temperature": 3}, "between 0 and 2"), ({"http": {"api_base": "u", "api_key_env": "k", "provider_options": {"model": 1}}}, "reserved"), ({"cli": {}}, "not allowed"):
+    for change, text in ({"batch_size": 0}, "batch_size isn.t a count from 1"), ({"backend": "x"}, "isn.t one of cli, http"), ({"temperature": 3}, "from 0 to 2"), ({"http": {"api_base": "u", "api_key_env": "k", "provider_options": {"model": 1}}}, "options without"), ({"cli": {}}, "cli is foreign to http"), ({"model": None}, "model is missing"):
         with pytest.raises(ValueError, match=text):
             profiles.resolve({"version": 1, "profile_sets": {"s": {"stages": {"judge": stage | change}}}}, "s")
 
 
+def test_profiles_to_runtime():
+    stage = {"profile_name": "p", "backend": "http", "model": "m", "batch_size": 4, "max_attempts": 2, "timeout_sec": 9, "http": {"api_base": "u", "api_key_env": "K"}}
+    config = {"version": 1, "profile_sets": {"s": {"stages": dict.fromkeys(profiles.STAGES, stage)}}}
+    p = profiles.resolve(config, "s")["answer"]
+    assert p.options["api_base"] == "u" and profiles.preflight(config, "s").count("\n") == 2
+    assert profiles.runtime(p, {"model": None}, {}) == profiles.Runtime("chat_endpoint", "http_batch", "m", 4, 2, 9, "p")
+    base = {"backend": "cli", "model": "d", "batch_size": 1, "max_attempts": 1, "timeout_sec": 5}
+    assert profiles.runtime(None, {"model": "other"}, base).model == "other"
+    with pytest.raises(ValueError, match="can.t be: model"):
+        profiles.runtime(p, {"model": "x"}, {})
+    with pytest.raises(ValueError, match="version 1"):
+        profiles.resolve({"version": 2}, "s")
+    with pytest.raises(ValueError, match="no stage is called"):
+        profiles.resolve({"version": 1, "profile_sets": {"s": {"stages": {"x": stage}}}}, "s")
+
+
 def test_stream_appends_each_key_once(spark, tmp_path):
     src = tmp_path / "in"
     src.mkdir()
