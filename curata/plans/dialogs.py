@@ -84,6 +84,13 @@ def benchmark_line_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _STOP = ", ".join(f"'{w}'" for w in STOPWORDS)
 _WORDS = "list_filter(list_distinct(list_transform(regexp_extract_all(coalesce({0}, ''), '[A-Za-zÄÖÜäöüß0-9+\\-]{{3,}}'), lambda w: replace(lower(w), 'ß', 'ss'))), lambda w: w NOT IN (" + _STOP + "))"
+
+
+def word_sql(column: str) -> str:
+    """The set of words of a text, in SQL."""
+    return _WORDS.format(column)
+
+
 _OVERLAP = f"""{CONV_SQL},
 w AS (SELECT conv_id, answer, {_WORDS.format('answer')} AS a, {_WORDS.format('prompt')} AS s FROM c WHERE answer IS NOT NULL),
 r AS (SELECT conv_id, answer, len(a) AS n_words, len(list_intersect(a, s)) / greatest(len(a), 1) AS overlap, (len(a) - len(list_intersect(a, s))) / greatest(len(a), 1) AS novel FROM w)"""
