@@ -47,13 +47,17 @@ TABLE_BITS = 20
 
 #: Hits (a place of a text with a place of an item) that are held at once.
 HITS_AT_ONCE = 1_000_000
-# Characters that count as a space.
-SPACES = str.maketrans(dict.fromkeys("\n\t\r\x0b\x0c\xa0\x85\u2028\u2029\u3000", " ") | {"İ": "i", "ς": "σ"})
+# Characters that count as a space, beside the space itself.
+SPACES = "\n\t\r\x0b\x0c\xa0\x85\u2028\u2029\u3000"
 
 
 def normal(text: str) -> str:
     """Lower case, white space to spaces, character by character (places stay)."""
-    return text.translate(SPACES).lower().replace("ς", "σ")
+    text = text.replace("İ", "i").lower()  # the one letter that would become two
+    for c in SPACES[:5] if text.isascii() else SPACES:
+        if c in text:
+            text = text.replace(c, " ")
+    return text.replace("ς", "σ")
 
 
 def grams(text: str, q: int = Q) -> np.ndarray:
@@ -92,6 +96,7 @@ class Items:
         self.lengths = np.array([len(t) for t in self.texts], np.int64)
         self.budgets = np.array([budget(len(t), rate) for t in self.texts], np.int64)
         self.bounds = np.array([len(t) - q + 1 - k * q for t, k in zip(self.texts, self.budgets.tolist(), strict=True)], np.int64)
+        self.least = int(self.bounds.min(initial=1 << 62))
         g = [grams(t, q) for t in self.texts]
         keys = np.concatenate([np.zeros(0, np.uint64), *g])
         item = np.repeat(np.arange(len(g)), [len(x) for x in g]).astype(np.int64)
@@ -125,6 +130,8 @@ class Items:
         lo, hi = np.searchsorted(self.keys, key, "left"), np.searchsorted(self.keys, key, "right")
         some = hi > lo
         at, lo, hi = at[some], lo[some], hi[some]
+        if (hi - lo).sum() < self.least:  # fewer hits than any item asks for
+            return
         held = np.zeros((0, 3), np.int64)
         # so many hits at a time, or those of one place
         group = np.cumsum(hi - lo) // HITS_AT_ONCE
@@ -134,9 +141,15 @@ class Items:
             where = np.repeat(at[a:b], n)
             row = np.repeat(lo[a:b] - (np.cumsum(n) - n), n) + np.arange(n.sum())
             item, place = self.item[row], self.place[row]
+            if len(cuts) == 2:  # all hits at once: items that have fewer than they ask for are done
+                enough = np.bincount(item, minlength=len(self.bounds))[item] >= self.bounds[item]
+                if not enough.any():
+                    return
+                item, place, where = item[enough], place[enough], where[enough]
             # a run of budget + 1 diagonals lies inside one of the bands [j*w, (j+2)*w)
             band = np.floor_divide(where - place, self.budgets[item] + 1)
-            fresh = np.stack([np.r_[item, item], np.r_[band, band - 1], np.r_[place, place]], axis=1)
+            twice = np.concatenate
+            fresh = np.stack([twice([item, item]), twice([band, band - 1]), twice([place, place])], axis=1)
             order = np.lexsort(fresh.T[::-1])
             fresh = fresh[order]
             if len(held):
