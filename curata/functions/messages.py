@@ -45,6 +45,8 @@ def numbered(steps: Column) -> Column:
 
 
 def visible_answer(task: Column, answer: Column, steps: Column) -> Column:
-    """A step task's answer with its numbered steps, unless it starts with them."""
-    add = (task == "step_by_step") & (F.size(F.coalesce(steps, F.array().cast("array<string>"))) > 0) & ~F.trim(answer).startswith("1.")
-    return F.when(add, F.trim(F.concat(F.trim(answer), F.lit("\n"), numbered(steps)))).otherwise(answer)
+    """A step task's answer with its numbered steps behind a blank line, unless it starts with them or there are none."""
+    base = F.trim(F.coalesce(answer, F.lit("")))
+    real = F.filter(F.transform(F.coalesce(steps, F.array().cast("array<string>")), lambda s: F.btrim(s, F.lit(" \t\n\r\x0b\f"))), lambda s: s != "")
+    plain = ~F.coalesce(task == "step_by_step", F.lit(False)) | (F.size(real) == 0) | base.startswith("1.")
+    return F.when(plain, base).when(base == "", numbered(real)).otherwise(F.concat(base, F.lit("\n\n"), numbered(real)))
