@@ -51,12 +51,13 @@ def _one_of(column: str, values: Sequence[object]) -> Column:
     return F.col(column).isin(list(values)) if values else F.lit(False)
 
 
-def top_off(rows: DataFrame, seeds: DataFrame, targets: dict[tuple[str, str], int], split: str, task: str, group: str, chunk: str, score: str, key: str) -> DataFrame:
+def top_off(rows: DataFrame, seeds: DataFrame, targets: dict[tuple[str, str], int], split: str, task: str, group: str, chunk: str, score: str, key: str, group_first: bool = False) -> DataFrame:
     """Seeds, and rows that fill each bucket of ``targets`` up, in their order.
 
     ``rows`` are the candidates, materialised (they are read once for each bucket). A candidate
     shares no chunk with what is selected, which is frozen at the bucket's start; candidates
-    come in the order of their group's selected rows, then score, group and key. What is
+    come in the order of their group's selected rows, then score, group and key (or group,
+    score and key). What is
     selected is as small as the targets and kept on the driver. Raises where too few are left.
     """
     spark, columns = rows.sparkSession, rows.columns
@@ -71,32 +72,33 @@ def top_off(rows: DataFrame, seeds: DataFrame, targets: dict[tuple[str, str], in
         for r in chosen:
             taken[r[group]] = taken.get(r[group], 0) + 1
         have = F.coalesce(F.create_map(*(F.lit(x) for kv in taken.items() for x in kv))[F.col(group)], F.lit(0)) if taken else F.lit(0)
-        found = free.withColumn("_have", have).orderBy("_have", F.desc(score), group, key).limit(need).drop("_have").collect()
+        found = free.withColumn("_have", have).orderBy("_have", *((group, F.desc(score)) if group_first else (F.desc(score), group)), key).limit(need).drop("_have").collect()
         if len(found) < need:
             raise ValueError(f"only {len(found)} of {need} rows can be added to {s}/{t}")
         chosen += [r.asDict() for r in found]
     return spark.createDataFrame([tuple(r[c] for c in columns) for r in chosen], rows.schema)
 
 
-def wave(candidates: DataFrame, targets: dict[tuple[str, str], int], tasks: Sequence[str], excluded: DataFrame | None = None) -> tuple[DataFrame, dict[tuple[str, str], int]]:
+def wave(candidates: DataFrame, targets: dict[tuple[str, str], int], tasks: Sequence[str], excluded: DataFrame | None = None, in_turn: Sequence[str] | None = None) -> tuple[DataFrame, dict[tuple[str, str], int]]:
     """A wave of several tasks, and what each bucket lacks.
 
     ``candidates`` (split, task, doc, chunk, score, tie, turn) are materialised and have at most one
     row a task and chunk. Tasks come in their order; within one, documents take turns
     (see :func:`round_robin`). A chunk that was selected is spent for later tasks; one that
-    a task only might have used is not. Splits share no chunk, so both are dealt at once.
+    a task only might have used is not. Splits that share no chunk are dealt at once; where
+    they may, ``in_turn`` names their order, each with all its tasks.
     What is selected is as small as the targets and kept on the driver.
     """
     spark = candidates.sparkSession
     pool = candidates if excluded is None else candidates.join(excluded, "chunk", "left_anti")
     chosen: list[tuple] = []
-    for t in tasks:
-        quota = max(n for (_, task), n in targets.items() if task == t)
-        free = pool.where((F.col("task") == t) & ~_one_of("chunk", [r[3] for r in chosen]))
+    for splits, t in [([s], t) for s in in_turn for t in tasks] if in_turn else [([s for s, _ in targets], t) for t in tasks]:
+        quota = max(n for (s, task), n in targets.items() if task == t and s in splits)
+        free = pool.where((F.col("task") == t) & F.col("split").isin(splits) & ~_one_of("chunk", [r[3] for r in chosen]))
         dealt = round_robin(free, ["split"], "doc", [F.desc("score"), F.asc("tie")], ["turn", "doc"], quota, keep="place")
         some = F.lit(False)
         for (s, task), n in targets.items():
-            if task == t:
+            if task == t and s in splits:
                 some |= (F.col("split") == s) & (F.col("place") <= n)
         chosen += [tuple(r) for r in dealt.where(some).select("split", "task", "doc", "chunk", "score", "place").collect()]
     lacks = {k: n - sum((r[0], r[1]) == k for r in chosen) for k, n in targets.items()}

@@ -6,11 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from curata.plans import dialogs, manuals, metrics, reports, reviews, runs, selection
+from curata.plans import dialogs, manuals, metrics, quality, reports, reviews, runs, selection
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
-for _module in (selection, metrics, dialogs, reviews, manuals, reports, runs):
+for _module in (selection, metrics, dialogs, reviews, manuals, reports, runs, quality):
     QUERIES |= _module.QUERIES
     ORACLES |= _module.ORACLES
 

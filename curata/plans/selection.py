@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from curata.functions.hashing import hash_mod, stable_hash
 from curata.functions.text import normalized_key
+from curata.operators.numbering import number_rows
 from curata.operators.quota import balanced_pick, chunk_exclusions, picks, round_robin, top_off, wave
+from curata.operators.numbering import number_rows
 from curata.operators.quota import hash_split as split_of
 from curata.plans.metrics import HASH_SQL, KEY_SQL
 from curata.session import frozen, table
@@ -106,6 +108,33 @@ def wave_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.select("split", "task", F.coalesce("n_available", F.lit(0)).alias("n_available"), "quota", F.coalesce("n_selected", F.lit(0)).alias("n_selected"), "lacking")
 
 
+REVIEW = {("train", t): n for t, n in zip(TASKS, (4, 9, 5, 12, 6), strict=True)} | {("eval", t): n for t, n in zip(TASKS, (3, 2, 4, 5, 30), strict=True)}
+
+
+def review_wave(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows to review: scores from 40 up, dealt over the sources in plain order, training first; pairs of neighbouring documents share a chunk, in both splits."""
+    c = wave_candidates(spark, sf_dir).where("score >= 40").withColumns({"turn": F.lit(0), "id": F.col("chunk"), "chunk": F.floor(F.col("chunk") / 2)})
+    # of a task's rows of one chunk the better one stands for it
+    best = F.row_number().over(Window.partitionBy("split", "task", "chunk").orderBy(F.desc("score"), "tie"))
+    return wave(frozen(c.withColumn("_n", best).where("_n = 1").drop("_n")), REVIEW, TASKS, None, ["train", "eval"])[0].withColumn("place", F.col("place").cast("long"))
+
+
+def slot_subset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row for each of eight slots, each from the source that has the fewest so far."""
+    rows = _tasked(spark, sf_dir)
+    return top_off(rows, rows.limit(0), dict.fromkeys(SLOTS, 1), "split", "task", "source", "chunk", "score", "doc_id", group_first=True).drop("chunk")
+
+
+SLOTS = [("train", t) for t in ("faq_direct_answer", "troubleshooting", "step_by_step", "clarification", "uncertainty_escalation")] + [("eval", t) for t in ("faq_direct_answer", "clarification", "step_by_step")]
+
+
+def approved_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of approved rows with their run, numbered in the order of split, task, source and id."""
+    rows = _tasked(spark, sf_dir).where(hash_mod(F.concat(F.col("doc_id").cast("string"), F.lit("::ok")), 3) == 0)
+    keyed = rows.select(F.struct("split", "task", "source", "doc_id").alias("key"), F.concat(F.lit("run1::job_"), F.col("doc_id").cast("string")).alias("output_id"))
+    return number_rows(keyed, "key").select("number", "output_id")
+
+
 def focus_wave(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One task alone over chosen sources: its split is one in eight, 24 rows to train on and 6 to evaluate, numbered through, evaluation first."""
     docs = table(spark, sf_dir, "documents").where(hash_mod(F.col("source"), 3) > 0)
@@ -143,7 +172,7 @@ def curation_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dealt.select("split", "lang", "source", "doc_id", "n_chars")
 
 
-QUERIES = {f.__name__: f for f in (hash_split, round_robin_quota, balanced_quota, topoff_quota, curated_quota, quota_report, multi_task_wave, wave_report, focus_wave, labelled_partition, split_leakage, curation_export)}
+QUERIES = {f.__name__: f for f in (hash_split, round_robin_quota, balanced_quota, topoff_quota, curated_quota, quota_report, multi_task_wave, wave_report, focus_wave, review_wave, slot_subset, approved_batch, labelled_partition, split_leakage, curation_export)}
 
 _H = HASH_SQL.format("doc_id::VARCHAR")
 _SPLIT = f"CASE WHEN {_H} % 7 = 0 THEN 'eval' ELSE 'train' END"
@@ -154,12 +183,12 @@ _TASK = "['" + "', '".join(TASKS) + "']"
 _ROWS = f"""r AS (SELECT {_SPLIT} AS split, {_TASK}[({HASH_SQL.format("doc_id::VARCHAR || '::task'")} % 5)::INT + 1] AS task, source, doc_id, n_chars AS score, {_KEY} AS chunk FROM documents)"""
 
 
-def _top_off_sql(per: tuple[int, int], first: str) -> str:
+def _top_off_sql(per: tuple[int, int] | dict, first: str, order: str = "score DESC, r.source") -> str:
     """CTEs s0 (the seeds) to s10, a bucket each."""
     out = [f"s0 AS ({first})"]
-    for i, ((split, task), n) in enumerate(_buckets(*per).items()):
+    for i, ((split, task), n) in enumerate((per if isinstance(per, dict) else _buckets(*per)).items()):
         out.append(f"""s{i + 1} AS (SELECT * FROM s{i} UNION ALL SELECT split, task, source, doc_id, score, chunk FROM (
-          SELECT r.*, row_number() OVER (ORDER BY coalesce(p.n, 0), score DESC, r.source, doc_id) AS place
+          SELECT r.*, row_number() OVER (ORDER BY coalesce(p.n, 0), {order}, doc_id) AS place
           FROM r LEFT JOIN (SELECT source, count(*) AS n FROM s{i} GROUP BY source) p ON r.source = p.source
           WHERE split = '{split}' AND task = '{task}' AND doc_id NOT IN (SELECT doc_id FROM s{i}) AND chunk NOT IN (SELECT chunk FROM s{i}))
           WHERE place <= {n} - (SELECT count(*) FROM s{i} WHERE split = '{split}' AND task = '{task}'))""")
@@ -184,6 +213,17 @@ def _wave_sql() -> str:
     return "WITH " + ", ".join(out)
 
 
+def _review_sql() -> str:
+    key = "doc_id::VARCHAR || '::' || task"
+    out = [f"""c AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY split, task, chunk ORDER BY score DESC, tie) AS n FROM (SELECT doc_id // 2 AS chunk, source AS doc, {_SPLIT} AS split, task,
+          ({HASH_SQL.format(key + " || '::score'")} % 101)::BIGINT AS score, {HASH_SQL.format(key)} AS tie, {HASH_SQL.format(key + " || '::draft'")} % 5 < 2 AS drafted
+          FROM (SELECT *, unnest({_TASK}) AS task FROM documents)) WHERE drafted AND score >= 40) WHERE n = 1)""", "w0 AS (SELECT split, task, doc, chunk, score, 0 AS place FROM c WHERE false)"]
+    for i, ((split, t), n) in enumerate(REVIEW.items()):
+        out.append(f"""w{i + 1} AS (SELECT * FROM w{i} UNION ALL SELECT split, task, doc, chunk, score, place FROM (SELECT *, row_number() OVER (ORDER BY round, doc) AS place FROM (
+            SELECT *, row_number() OVER (PARTITION BY doc ORDER BY score DESC, tie) AS round FROM c WHERE split = '{split}' AND task = '{t}' AND chunk NOT IN (SELECT chunk FROM w{i}))) WHERE place <= {n})""")
+    return "WITH " + ", ".join(out) + " SELECT * FROM w10"
+
+
 ORACLES = {
     "hash_split": f"SELECT lang, source, {_SPLIT} AS split, count(*) AS n FROM documents GROUP BY ALL",
     "round_robin_quota": f"""
@@ -207,6 +247,9 @@ ORACLES = {
     "wave_report": f"""{_wave_sql()}, g AS (SELECT * FROM (VALUES {", ".join(f"('{s}', '{t}', {n})" for (s, t), n in WAVE.items())}) v(split, task, quota)),
         a AS (SELECT split, task, count(*) AS n FROM c GROUP BY ALL), p AS (SELECT split, task, count(*) AS n FROM w5 GROUP BY ALL)
         SELECT split, task, coalesce(a.n, 0) AS n_available, quota, coalesce(p.n, 0) AS n_selected, quota - coalesce(p.n, 0) AS lacking FROM g LEFT JOIN a USING (split, task) LEFT JOIN p USING (split, task)""",
+    "review_wave": _review_sql(),
+    "slot_subset": f"WITH {_ROWS}, {_top_off_sql(dict.fromkeys(SLOTS, 1), 'SELECT * FROM r WHERE false', 'r.source, score DESC')} SELECT split, task, source, doc_id, score FROM s8",
+    "approved_batch": f"""WITH {_ROWS} SELECT row_number() OVER (ORDER BY split, task, source, doc_id) - 1 AS number, 'run1::job_' || doc_id AS output_id FROM r WHERE {HASH_SQL.format("doc_id::VARCHAR || '::ok'")} % 3 = 0""",
     "focus_wave": f"""WITH c AS (SELECT CASE WHEN {_H} % 8 = 0 THEN 'eval' ELSE 'train' END AS split, source, doc_id, n_chars, {_H} AS tie, ({HASH_SQL.format('source')} % 1000)::BIGINT AS turn FROM documents WHERE {HASH_SQL.format('source')} % 3 > 0),
         r AS (SELECT *, row_number() OVER (PARTITION BY split, source ORDER BY n_chars DESC, tie) AS round FROM c),
         q AS (SELECT *, row_number() OVER (PARTITION BY split ORDER BY round, turn, source) AS place FROM r)
