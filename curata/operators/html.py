@@ -29,6 +29,27 @@ class Node:
         return "".join(c if isinstance(c, str) else "" if c.tag in SKIPPED else c.text() for c in self.children)
 
 
+    def texts(self) -> Iterator[str]:
+        """The text nodes below, in order."""
+        for c in self.children:
+            if isinstance(c, str):
+                yield c
+            elif c.tag not in SKIPPED:
+                yield from c.texts()
+
+    def words(self, sep: str = " ") -> str:
+        """The stripped text nodes that aren't blank, joined."""
+        return sep.join(filter(None, map(str.strip, self.texts())))
+
+    def below(self, *tags: str) -> Iterator[Node]:
+        """The elements of these tags below, at any depth."""
+        for c in self.children:
+            if isinstance(c, Node):
+                if c.tag in tags:
+                    yield c
+                yield from c.below(*tags)
+
+
 class Tree(HTMLParser):
     """Builds a tree from tag soup: ends that HTML implies, end tags without a start ignored."""
 
@@ -87,11 +108,11 @@ def inline(node: Node | str) -> str:
         case "br":
             return "\n"
         case "strong" | "b":
-            return f" **{t}** " if (t := tight(node.text())) else ""
+            return f" **{tight(node.words())}** "
         case "em" | "i":
-            return f" *{t}* " if (t := tight(node.text())) else ""
-        case "code":
-            return f" `{t}` " if (t := tight(node.text())) else ""
+            return f" *{tight(node.words())}* "
+        case "code" if node.parent is None or node.parent.tag != "pre":
+            return f" `{tight(node.words())}` "
         case "a":
             text, href = tight(inner()), node.attrs.get("href")
             return f"[{text}]({href})" if text and href else text
@@ -109,19 +130,8 @@ def paragraph(raw: str) -> str:
 
 
 def table(node: Node) -> str:
-    rows: list[list[str]] = []
-
-    def walk(n: Node) -> None:
-        for c in n.children:
-            if isinstance(c, Node):
-                if c.tag == "tr":
-                    cells = [one_line(x.text()) for x in c.children if isinstance(x, Node) and x.tag in ("td", "th")]
-                    if cells:
-                        rows.append(cells)
-                else:
-                    walk(c)
-
-    walk(node)
+    rows = [[one_line(cell.words()) for cell in row.below("td", "th")] for row in node.below("tr")]
+    rows = [r for r in rows if r]
     if not rows:
         return ""
     width = max(map(len, rows))
@@ -164,13 +174,16 @@ def blocks(node: Node, depth: int = 0) -> list[str]:
                 held.append(inline(c))
             continue
         flush()
+        if c.has_class("src") and c.tag == "div":  # a source marker is a paragraph of its words
+            out += [t] if (t := paragraph(c.words())) else []
+            continue
         if c.tag in SKIPPED or c.tag == "hr" or c.has_class("toc") or c.has_class("meta"):
             continue
         match c.tag:
             case "pre":
-                out.append("```\n" + c.text().strip("\n") + "\n```")
+                out += ["```\n" + t + "\n```"] if (t := "\n".join(c.texts()).strip("\n")) else []
             case "blockquote":
-                out.append("\n".join(("> " + x).rstrip() for x in "\n\n".join(blocks(c)).split("\n")))
+                out.append("\n".join(f"> {t}" for x in c.words("\n").split("\n") if (t := one_line(x))))
             case "ul" | "ol":
                 out.append("\n".join(items(c, depth)))
             case "table":
@@ -178,7 +191,7 @@ def blocks(node: Node, depth: int = 0) -> list[str]:
             case "p":
                 out += [t] if (t := paragraph("".join(map(inline, c.children)))) else []
             case h if re.fullmatch("h[1-6]", h):
-                title = tight("".join(map(inline, c.children)).replace("**", "").replace("\n", " "))
+                title = one_line(c.words())
                 if title and not (h == "h1" and out and re.fullmatch("#{2,6} " + re.escape(title), out[-1])):
                     out.append("#" * int(h[1]) + " " + title)
             case _:
@@ -187,6 +200,7 @@ def blocks(node: Node, depth: int = 0) -> list[str]:
     return [b for b in out if b.strip()]
 
 
+# Fixed value: a heading with prose behind its end.
 PROSE = re.compile(r"^(#{1,6}\s+.+?[.!?:])[ \t]+(\S.*)$")
 
 
@@ -222,7 +236,7 @@ def to_markdown(html: str) -> tuple[str, str]:
 
     heading = find(tree.root)
     body = "\n\n".join(blocks(tree.root))
-    return one_line(heading.text()) if heading else "", repaired(body) if body else ""
+    return heading.words() if heading else "", repaired(body) if body else ""
 
 
 def normalize_pages(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
@@ -236,3 +250,25 @@ def normalize_pages(pages: DataFrame, key: str = "page_id", html: str = "html")
     source = pages.select(F.col(key).alias("key"), F.coalesce(F.col(html), F.lit("")).alias("html"))
     kind = pages.schema[key].dataType.simpleString()
     return source.mapInPandas(run, f"key {kind}, title string, markdown string").select(F.col("key").alias(key), "title", "markdown", F.sha2("markdown", 256).alias("checksum"))
+
+
+def normalize_files(files: DataFrame, version: str) -> DataFrame:
+    """Raw files (``path``, ``text``) as markdown with their metadata: HTML is converted, other text stays; both end with one line feed."""
+    is_html = F.lower("path").rlike(r"\.html?$")
+    made = normalize_pages(files.where(is_html), "path", "text").select("path", "markdown")
+    plain = files.where(~is_html).select("path", F.coalesce("text", F.lit("")).alias("markdown"))
+    whole = made.unionByName(plain).withColumn("markdown", F.concat(F.regexp_replace("markdown", r"^\s+|\s+$", ""), F.lit("\n")))
+    target = F.regexp_replace("path", r"\.[^./]*$", ".md")
+    return whole.select(F.col("path").alias("normalized_from"), target.alias("normalized_file"), "markdown", F.sha2("markdown", 256).alias("normalized_checksum"), F.lit(version).alias("transform_pipeline_version"))
+
+
+def manual_metadata(pages: DataFrame, prefix: str, product: str, language: str, collection: str, root: str, version: str) -> DataFrame:
+    """Metadata of normalized manuals from their raw pages (``path``, ``text``, ``modified``): ids from file names, checksums, dates and provenance."""
+    stem = F.regexp_replace(F.regexp_extract("path", "[^/]*$", 0), r"\.[^.]*$", "")
+    slug = F.btrim(F.regexp_replace(F.regexp_replace(F.lower(F.trim(stem)), f"^{re.escape(prefix)}", ""), "[^a-z0-9]+", "_"), F.lit("_"))
+    checksum = F.sha2(F.coalesce("text", F.lit("")), 256)
+    return pages.select(
+        F.concat(F.lit(prefix), slug).alias("doc_id"), F.lit(product).alias("product"), F.lit(language).alias("language"), F.lit(collection).alias("version"), F.lit("html").alias("source_type"), F.col("path").alias("source_file"),
+        F.regexp_replace("path", "/[^/]*$", "").alias("source_path"), F.concat(F.lit(root.rstrip("/") + "/"), slug, F.lit("/index.md")).alias("normalized_path"), checksum.alias("checksum"), F.date_format("modified", "yyyy-MM-dd").alias("import_date"),
+        F.lit("raw_html_to_normalized_markdown").alias("conversion_stage"), F.lit(version).alias("transform_pipeline_version"), F.struct(F.lit(collection).alias("raw_collection_id"), checksum.alias("source_checksum")).alias("provenance"),
+    )

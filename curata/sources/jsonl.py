@@ -33,6 +33,16 @@ def read_json(spark: SparkSession, path: str) -> dict | list:
     return json.loads(spark.read.text(path, wholetext=True).first()[0])
 
 
+def write_json(value: dict | list, path: str, spark: SparkSession) -> None:
+    """One JSON document, indented by two, on any file system Spark writes; replaces what is there."""
+    import json
+
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = place.getFileSystem(spark._jsc.hadoopConfiguration()).create(place, True)
+    out.write((json.dumps(value, ensure_ascii=False, indent=2) + "\n").encode())
+    out.close()
+
+
 def read_ids(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """(``id``): the distinct lines of id lists that aren't blank, trimmed."""
     lines = spark.read.text(list(paths) if not isinstance(paths, str) else paths)

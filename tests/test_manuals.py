@@ -75,6 +75,65 @@ def test_markdown():
     assert html.to_markdown("") == ("", "")
 
 
+def test_markdown_joins_nested_marks_with_a_space():
+    _, md = html.to_markdown("<table><tr><td><b>a</b><i>b</i></td><td>c<table><tr><td>d</td></tr></table></td></tr></table><p><b>x<i>y</i></b> z</p><h2>A<b>B</b></h2><h1>A B</h1><blockquote><p>eins</p><p>zwei</p></blockquote><div class='src'>Quelle: <a href='u'>Hilfe</a></div><pre>a<code>b</code></pre>")
+    assert md == "| a b | c d | d |\n| --- | --- | --- |\n| d |  |  |\n\n**x y** z\n\n## A B\n\n> eins\n> zwei\n\nQuelle: Hilfe\n\n```\na\nb\n```\n"
+
+
+def test_files_to_markdown_with_metadata(spark):
+    files = spark.createDataFrame([("r/a.HTML", "<h1>T</h1><p>x"), ("r/b.txt", "  plain\n\n"), ("r/c.txt", None)], "path string, text string")
+    got = {r.normalized_from: (r.normalized_file, r.markdown) for r in html.normalize_files(files, "v1").collect()}
+    assert got == {"r/a.HTML": ("r/a.md", "# T\n\nx\n"), "r/b.txt": ("r/b.md", "plain\n"), "r/c.txt": ("r/c.md", "\n")}
+    m = html.manual_metadata(files.withColumn("modified", F.lit("2024-05-06 07:08:09").cast("timestamp")).withColumn("path", F.lit("r/AB_DE_Erste-Schritte.html")), "ab_de_", "P", "de", "c1", "out/", "v1").first()
+    assert m.doc_id == "ab_de_erste_schritte" and m.normalized_path == "out/erste_schritte/index.md" and m.import_date == "2024-05-06" and m.source_path == "r" and m.provenance.source_checksum == m.checksum
+
+
+def test_chunks_keep_what_the_rules_say(spark):
+    """The chunks of marked-up documents against the rules, from the chunks and the texts alone."""
+    from curata.plans import manuals
+
+    docs = manuals._with_headings(spark.read.parquet("/root/testdata/sf0.001/documents.parquet"))
+    texts = {str(r.doc_id): r.text.split("\n") for r in docs.collect()}
+    by_doc = {}
+    for c in sections.chunks(docs).collect():
+        by_doc.setdefault(c.doc, []).append(c)
+    assert by_doc
+    for doc, found in by_doc.items():
+        assert sorted(c.chunk_index for c in found) == list(range(1, len(found) + 1)) and {c.chunk_count_in_doc for c in found} == {len(found)}
+        assert len({c.chunk_id for c in found}) == len(found)
+        for c in found:
+            lines = texts[doc][c.line_start - 1 : c.line_end]
+            words = " ".join(lines).split()
+            assert sections.MIN_MEANINGFUL <= c.char_count == len(c.content) and c.line_start <= c.line_end
+            assert set(c.content.split()) <= set(words)  # nothing is invented, and the span holds it
+            assert c.char_count <= sections.MAX_CHARS or c.char_count <= sections.TARGET_CHARS + sections.MAX_CHARS
+            titles = [x.lstrip("# ") for x in texts[doc][: c.line_start] if x.startswith("#")]
+            assert titles and titles[-1].strip() == c.section_title
+
+
+def test_drafts_keep_what_the_rules_say(spark):
+    """Every draft is one of its chunk's, with a score its task can give, and no artifact in its answer."""
+    from curata.plans import manuals
+
+    made = manuals.draft_cases(spark, "/root/testdata/sf0.001").collect()
+    least = {"faq_direct_answer": 46, "step_by_step": 44, "troubleshooting": 42, "clarification": 36, "uncertainty_escalation": 42}
+    assert made and len({(d.chunk_id, d.task_type) for d in made}) == len(made)
+    for d in made:
+        assert least[d.task_type] <= d.score <= 90 and d.score % 2 == 0 and d.assistant_message.strip() and "..." not in d.assistant_message and "…" not in d.assistant_message
+        if d.task_type == "step_by_step":
+            assert [x.split(". ")[0] for x in d.assistant_message.split("\n")] == [str(i + 1) for i in range(len(d.assistant_message.split("\n")))]
+        if d.task_type == "clarification":
+            assert d.assistant_message.endswith("?")
+    jobs = manuals.teacher_jobs(spark, "/root/testdata/sf0.001", quota=3).collect()
+    keys = {(d.chunk_id, d.task_type): d for d in made}
+    assert jobs and len({j.chunk_id for j in jobs}) == len(jobs) == len({j.job_id for j in jobs})
+    assert all(keys[j.chunk_id, j.task_type].assistant_message == j.assistant_message and j.job_id.startswith(f"wave::{j.split}::{j.task_type}::") for j in jobs)
+    counts = {}
+    for j in jobs:
+        counts[j.split, j.task_type] = counts.get((j.split, j.task_type), 0) + 1
+    assert max(counts.values()) <= 3
+
+
 def test_text_functions(spark):
     one = lambda col, **v: spark.createDataFrame([tuple(v.values())], list(v)).select(col.alias("r")).first().r
     assert one(tx.strip_markdown(F.col("t")), t="[a](b) **c** `d`  e_f") == "a c d e f"

@@ -28,6 +28,10 @@ def test_files_round_trip(spark, tmp_path):
         jsonl.only_ids(df, "id", spark.createDataFrame([("c",)], "id string"))
     m = jsonl.file_manifest(spark, f"{tmp_path}/ids.txt").first()
     assert m.n_rows == 3 and len(m.sha256) == 64
+    jsonl.write_json({"n": ["ü", None]}, f"{tmp_path}/m.json", spark)
+    assert jsonl.read_json(spark, f"{tmp_path}/m.json") == {"n": ["ü", None]} and "\n  \"n\"" in (tmp_path / "m.json").read_text()
+    jsonl.write_ids(df, "id", f"{tmp_path}/idlist")
+    assert sorted(r.id for r in jsonl.read_ids(spark, f"{tmp_path}/idlist").collect()) == ["a", "b"]
     files = jsonl.text_files(spark, f"{tmp_path}/*.txt")
     assert jsonl.ingest(files, "P", "DE", "1").first().doc_id == "p_de_ids"
 
@@ -54,6 +58,21 @@ def test_stage_runs_resumes_and_fails_by_batch(spark):
     assert stages.response_items({"choices": [{"message": {"content": [{"text": '{"items":'}, {"text": "[1]}"}]}}]}) == [1]
 
 
+def test_prompts_packets_and_messages(spark):
+    df = spark.createDataFrame([("faq", "ask", None)], "task string, q string, n long")
+    assert df.select(stages.render_prompt("Do it", ["be brief"], task=F.col("task"), n=F.col("n")).alias("p")).first().p == "Do it\n- be brief\ntask: faq\nn: "
+    from curata.functions import messages as ms
+
+    chat = spark.createDataFrame([([("user", " "), ("user", "q"), ("assistant", "a"), ("assistant", " ")],)], "m array<struct<role:string,content:string>>")
+    r = chat.select(ms.first_filled(F.col("m"), "user").alias("f"), ms.joined(F.col("m"), "user").alias("j"), ms.last_of(F.col("m"), "assistant").alias("l"), ms.answer_text(F.lit(" "), F.col("m")).alias("a"), ms.first_true(F.lit(""), F.lit(None).cast("string"), F.lit("x")).alias("t")).first()
+    assert (r.f, r.j, r.l, r.a, r.t) == ("q", " \nq", " ", "a", "x")
+    rows = spark.createDataFrame([(f"o{i}", "train", "faq", i, "w " * 200) for i in range(30)], "output_id string, target_split string, task_type string, quality_score long, answer string")
+    packet = search.review_packet(rows, 3).collect()
+    assert [p.output_id for p in packet] == ["o29", "o28", "o27"] and len(packet[0].preview) == 220
+    lines = spark.createDataFrame([(["a", "b", "c", "d"],)], "l array<string>").select(search.excerpt(F.col("l"), F.lit(2), F.lit(2), 1).alias("e")).first().e
+    assert [tuple(x) for x in lines] == [(1, "a"), (2, "b"), (3, "c")]
+
+
 def test_last_by_key_and_required(spark):
     df = spark.createDataFrame([("a", 1, "x"), ("a", 2, "y")], "k string, n long, v string")
     assert stages.last_by_key(df, "k", "n").first().v == "y"
