@@ -12,19 +12,23 @@ def stream_jsonl(spark: SparkSession, folder: str, schema: T.StructType | str, f
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).json(folder)
 
 
+def new_rows(stream: DataFrame, key: str = "job_id") -> DataFrame:
+    """The first row of each key, whatever batch it comes in: Spark keeps the keys in its state store, partitioned, and nothing is read back."""
+    return stream.dropDuplicates([key])
+
+
 def append_new(stream: DataFrame, target: str, checkpoint: str, key: str = "job_id") -> None:
-    """Appends the keys that the target doesn't have yet, and ends when all files are read.
+    """Appends the rows of new keys, and ends when all files are read.
 
-    A batch that runs again after a failure adds nothing twice: its keys are there.
+    The file sink's log makes a batch that runs again after a failure add nothing twice.
     """
+    sink = new_rows(stream, key).writeStream.format("parquet").outputMode("append")
+    sink.option("path", target).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
-    def put(batch: DataFrame, _: int) -> None:
-        fresh = batch.dropDuplicates([key])
-        if batch.sparkSession._jvm.org.apache.hadoop.fs.Path(target).getFileSystem(batch.sparkSession._jsc.hadoopConfiguration()).exists(batch.sparkSession._jvm.org.apache.hadoop.fs.Path(target)):
-            fresh = fresh.join(batch.sparkSession.read.parquet(target).select(key), key, "left_anti")
-        fresh.write.mode("append").parquet(target)
 
-    stream.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+def resume(jobs: DataFrame, done: DataFrame, key: str = "job_id") -> DataFrame:
+    """The jobs of a table that a finished table of results lacks: one shuffle on the key, no list of keys anywhere."""
+    return jobs.join(done.select(key).distinct(), key, "left_anti")
 
 
 def windowed_counts(events: DataFrame, time: str = "ts", width: str = "1 hour", late: str = "2 hours", by: str = "event_type") -> DataFrame:

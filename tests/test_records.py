@@ -201,5 +201,7 @@ def test_stream_appends_each_key_once(spark, tmp_path):
     (src / "2.json").write_text('{"job_id":"b"}\n{"job_id":"c"}\n')
     incremental.append_new(stream(), f"{tmp_path}/out", f"{tmp_path}/cp")
     assert sorted(r.job_id for r in spark.read.parquet(f"{tmp_path}/out").collect()) == ["a", "b", "c"]
+    left = incremental.resume(spark.createDataFrame([("a",), ("z",)], "job_id string"), spark.read.parquet(f"{tmp_path}/out"))
+    assert [r.job_id for r in left.collect()] == ["z"]
     events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
     assert incremental.windowed_counts(events).agg(F.sum("n")).first()[0] == events.count()
