@@ -60,8 +60,11 @@ def _document(doc_id: str, text: str) -> tuple[Column, Column]:
     return doc, F.when(doc.isNull(), F.xxhash64(text_or_empty(text))).otherwise(F.lit(0).cast("long"))
 
 
+WORD, HEAD = 2, 1
+
+
 def _halves(line: Column, length: Column, word: bool) -> Column:
-    """The shared-half keys of a line, as (key, whether of words, whether a first half): those of its own length and of one less."""
+    """The shared-half keys of a line: those of its own length and of one less. The last two bits say whether it is of words and a first half."""
     made = []
     for back in (0, 1):
         size = length - back
@@ -71,7 +74,7 @@ def _halves(line: Column, length: Column, word: bool) -> Column:
         else:
             parts = F.substring(line, F.lit(1), half), F.substring(line, length - (size - half) + 1, size - half)
         for head, part in zip((True, False), parts, strict=True):
-            made.append(F.struct(F.xxhash64(size, F.lit(2 * word + (not head)), part).alias("key"), F.lit(word).alias("word"), F.lit(head).alias("head")))
+            made.append(F.xxhash64(size, part).bitwiseAND(~3).bitwiseOR(WORD * word + HEAD * head))
     return F.array(*made)
 
 
@@ -91,11 +94,12 @@ def first_lines(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 def candidates(lines: DataFrame) -> DataFrame:
     """The lines that share a half with another, of words or of characters: whether they share a first (``head``) or a second half (``tail``)."""
-    halves = lines.where("halves is not null").select("h1", "h2", "first", F.explode("halves").alias("half")).select("h1", "h2", "first", "half.*")
+    halves = lines.where("halves is not null").select("h1", "h2", "first", F.explode("halves").alias("key"))
     # a line has a key once or, with equal halves, in rows of its own: distinct lines are counted by their bounds
     shared = halves.groupBy("key").agg(F.min("h1").alias("a"), F.max("h1").alias("b")).where("a < b").select("key")
     hit = halves.join(shared, "key", "left_semi")
-    return hit.groupBy("h1", "h2", "word").agg(F.min("first").alias("first"), F.max("head").alias("head"), F.max(~F.col("head")).alias("tail"))
+    head = F.col("key").bitwiseAND(HEAD) != 0
+    return hit.groupBy("h1", "h2", (F.col("key").bitwiseAND(WORD) != 0).alias("word")).agg(F.min("first").alias("first"), F.max(head).alias("head"), F.max(~head).alias("tail"))
 
 
 def with_lines(found: DataFrame, docs: DataFrame, doc_id: str, text: str) -> DataFrame:
