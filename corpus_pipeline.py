@@ -2,6 +2,13 @@
 
 ``STAGES`` lists the stages; each takes (spark, docs, sf_dir) and returns a
 DataFrame, which is written as Parquet and read again as the next one's docs.
+
+A null or empty text has no words, so the quality rules reject it; a null language or
+source is a group of its own. Documents of one id are one document for the line dedup, and
+of those with equal texts one stays; a document without an id is in no group of
+near-duplicates and stays. Of equal documents the one with the smallest id stays. Texts of
+any length pass whole. An empty table passes through all stages, and columns beside those of
+``documents`` stay, except that the last stage's take the place of columns of their names.
 """
 
 from __future__ import annotations
@@ -18,7 +25,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that an earlier line repeats, exactly or with one edit, go."""
+    """Lines that an earlier line repeats, exactly or, if they are long, with one edit, go."""
     return line_dedup.remove_lines(docs)
 
 
