@@ -71,6 +71,31 @@ class Http:
         raise RuntimeError(f"no valid response after {self.attempts} attempts") from fault
 
 
+@dataclass
+class Cli:
+    """A program that reads the requests as JSON on its input and writes the response items to the file that replaces ``{out}`` in its command, or to its output."""
+
+    command: list[str]
+    attempts: int = 3
+    timeout: int = 600
+
+    def complete(self, requests: list[dict]) -> list[dict]:
+        import pathlib
+        import subprocess
+        import tempfile
+
+        fault: Exception | None = None
+        for _ in range(self.attempts):
+            with tempfile.TemporaryDirectory() as folder:  # of the one process, gone when it ends
+                out = pathlib.Path(folder, "out.json")
+                try:
+                    ran = subprocess.run([a.replace("{out}", str(out)) for a in self.command], input=json.dumps(requests, ensure_ascii=False), capture_output=True, text=True, timeout=self.timeout, check=True)
+                    return json.loads(out.read_text() if out.exists() else ran.stdout)["items"]
+                except (subprocess.SubprocessError, OSError, ValueError, KeyError, TypeError) as e:
+                    fault = e
+        raise RuntimeError(f"no valid response after {self.attempts} attempts") from fault
+
+
 def response_items(payload: dict) -> list[dict]:
     """The items of a chat response whose content is a string or a list of text parts."""
     content = payload["choices"][0]["message"]["content"]
@@ -79,7 +104,7 @@ def response_items(payload: dict) -> list[dict]:
     return json.loads(content)["items"]
 
 
-CLIENTS: dict[str, Callable[..., object]] = {"stub": Stub, "replay": Replay, "http": Http}
+CLIENTS: dict[str, Callable[..., object]] = {"stub": Stub, "replay": Replay, "http": Http, "cli": Cli}
 
 
 def client(name: str, **options) -> object:

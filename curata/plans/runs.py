@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from curata.functions.hashing import hash_mod
-from curata.operators import audits, gold, materialize, training
+from curata.operators import audits, gold, materialize, training, workflow
 from curata.operators.quota import hash_split
 from curata.plans.metrics import HASH_SQL
 from curata.plans.selection import TASKS
@@ -229,11 +229,26 @@ def normalized_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return training.pair_faults(raw, done, "p", "de")
 
 
+def seed_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbered previews of jobs, chats and cases alike."""
+    chats, cases = workflow.seed_rows(jobs(spark, sf_dir))
+    a = chats.select("id", "job_id", F.col("task_type").alias("task"), F.element_at("messages", -1)["content"].alias("answer"))
+    return a.unionByName(cases.select(F.col("eval_id").alias("id"), "job_id", F.col("case_type").alias("task"), F.col("reference_answer").alias("answer")))
+
+
+def pre_gold_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chat records of the approved rows of a review, by split."""
+    r = _reviewed(spark, sf_dir).where("record_type = 'eval_case' or trim(element_at(candidate.messages, -1).content) <> ''").where("record_type <> 'eval_case' or candidate.reference_answer <> ''")
+    p = workflow.pre_gold(r, "in.jsonl", "sys")
+    row = lambda split: p[split].join(p[f"{split}_metadata"].select("id", "task_type"), "id").select(F.lit(split).alias("split"), "id", "task_type", F.array_join(F.transform("messages", lambda m: m["role"]), ",").alias("roles"), F.element_at("messages", -1)["content"].alias("answer"))
+    return row("train").unionByName(row("eval"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         materialized_outputs, stub_outputs, imported_responses, answer_contracts, status_propagation, promoted_rows, gold_sidecar, promotion_faults, review_export_faults, derivation_counts, excluded_rows,
-        borderline_audit, borderline_backfill, borderline_patterns, clarification_audit, run_summary, run_comparison, judge_run_delta, normalized_pairs,
+        borderline_audit, borderline_backfill, borderline_patterns, clarification_audit, run_summary, run_comparison, judge_run_delta, normalized_pairs, seed_samples, pre_gold_records,
     )
 }
 
@@ -330,6 +345,9 @@ ORACLES = {
     "judge_run_delta": f"""WITH r AS (SELECT doc_id AS job_id, {_TASK_SQL} AS task_type, {_s('score0', 101)} AS old_score, {_s('score1', 101)} AS new_score FROM labels),
         d AS (SELECT *, CASE WHEN old_score >= 45 THEN 'approve' ELSE 'reject' END AS old_decision, CASE WHEN new_score >= 45 THEN 'approve' ELSE 'reject' END AS new_decision, new_score - old_score AS delta FROM r)
         SELECT * FROM d WHERE old_decision <> new_decision OR (delta <> 0 AND task_type = 'clarification')""",
+    "seed_samples": f"""WITH {_J} SELECT CASE WHEN is_eval THEN 'eval_' ELSE 'sft_' END || format('{{:04d}}', row_number() OVER (PARTITION BY is_eval ORDER BY job_id)) AS id, job_id, task,
+        CASE WHEN is_eval OR {_s('draft', 3)} > 0 THEN fixture ELSE 'Draft ' || doc_id END AS answer FROM j""",
+    "pre_gold_records": f"""WITH {_R} SELECT split, job_id || '__candidate' AS id, task AS task_type, 'system,user,assistant' AS roles, answer FROM g WHERE good AND answer <> ''""",
     "normalized_pairs": f"""WITH p AS (SELECT page_id AS doc_id FROM pages), x AS (SELECT *, 's' || doc_id AS stem, {_s('lost', 40)} > 0 AS raw, {_s('todo', 30)} > 0 AS done, {_s('twice', 20)} = 0 AS same FROM p),
         f AS (SELECT stem, unnest([CASE WHEN NOT done THEN 'not normalized' END, CASE WHEN NOT raw THEN 'no raw file' END, CASE WHEN raw AND done AND {_s('file', 25)} = 0 THEN 'another source file' END, CASE WHEN raw AND done AND {_s('product', 35)} = 0 THEN 'another product' END,
           CASE WHEN raw AND done AND {_s('stage', 45)} = 0 THEN 'another stage' END]) AS reason FROM x WHERE raw OR done)
