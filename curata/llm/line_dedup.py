@@ -94,12 +94,14 @@ def first_lines(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 def candidates(lines: DataFrame) -> DataFrame:
     """The lines that share a half with another, of words or of characters: whether they share a first (``head``) or a second half (``tail``)."""
-    halves = lines.where("halves is not null").select("h1", "h2", "first", F.explode("halves").alias("key"))
+    # the many keys travel with 64 bits of their line only; what is found gets the rest back
+    halves = lines.where("halves is not null").select("h1", F.explode("halves").alias("key"))
     # a line has a key once or, with equal halves, in rows of its own: distinct lines are counted by their bounds
     shared = halves.groupBy("key").agg(F.min("h1").alias("a"), F.max("h1").alias("b")).where("a < b").select("key")
     hit = halves.join(shared, "key", "left_semi")
     head = F.col("key").bitwiseAND(HEAD) != 0
-    return hit.groupBy("h1", "h2", (F.col("key").bitwiseAND(WORD) != 0).alias("word")).agg(F.min("first").alias("first"), F.max(head).alias("head"), F.max(~head).alias("tail"))
+    found = hit.groupBy("h1", (F.col("key").bitwiseAND(WORD) != 0).alias("word")).agg(F.max(head).alias("head"), F.max(~head).alias("tail"))
+    return found.join(lines.select("h1", "h2", "first"), "h1").select("h1", "h2", "word", "first", "head", "tail")
 
 
 def with_lines(found: DataFrame, docs: DataFrame, doc_id: str, text: str) -> DataFrame:
