@@ -201,3 +201,24 @@ def run_delta(before: DataFrame, after: DataFrame, focus: Sequence[str] = ()) ->
     other = ~F.col("old_decision").eqNullSafe(F.col("new_decision"))
     scored = (F.col("delta") != 0) & (F.col("task_type").isin(list(focus)) if focus else F.lit(True))
     return j.where(other | F.coalesce(scored, F.lit(False)))
+
+
+def pair(reference: tuple[DataFrame, DataFrame], candidate: tuple[DataFrame, DataFrame], focus: Sequence[str], least_delta: int = 20) -> DataFrame:
+    """Cases that both runs judged and answered and that some tag singles out: a focus task, another decision, a score far off; with both answers."""
+    names = ("reference", "candidate")
+    wide = _wide(dict(zip(names, (reference, candidate), strict=True)), "inner")
+    delta = F.col("s_candidate") - F.col("s_reference")
+    tags = F.array_compact(
+        F.array(
+            F.when(F.col("task_type").isin(list(focus)), F.concat(F.lit("focus_task_type:"), "task_type")),
+            F.when(F.col("d_reference") != F.col("d_candidate"), "decision_disagreement"),
+            F.when(F.abs(delta) >= least_delta, f"high_score_delta>={least_delta}"),
+        )
+    )
+    return wide.withColumns({"tags": tags, "delta": delta, "decisions": F.concat_ws("->", "d_reference", "d_candidate")}).where(F.size("tags") > 0).select("job_id", "task_type", "tags", "delta", "decisions", F.col("a_reference").alias("reference_answer"), F.col("a_candidate").alias("candidate_answer"))
+
+
+def pair_counts(cases: DataFrame) -> DataFrame:
+    """(``what``, ``key``, ``n``) of a pair audit: its tags, tasks and pairs of decisions."""
+    facts = F.concat(F.transform("tags", lambda t: F.struct(F.lit("tag").alias("what"), t.alias("key"))), F.array(F.struct(F.lit("task_type").alias("what"), F.col("task_type").alias("key")), F.struct(F.lit("decisions").alias("what"), F.col("decisions").alias("key"))))
+    return cases.select(F.explode(facts).alias("f")).groupBy("f.what", "f.key").agg(F.count("*").alias("n"))

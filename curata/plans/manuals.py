@@ -212,9 +212,17 @@ def card_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select("id", F.size("messages").cast("long").alias("n_messages"), F.array_join("messages.role", ",").alias("roles"), F.array_join("source_chunk_ids", ",").alias("chunks"), F.element_at("messages", 2)["content"].alias("asks"))
 
 
+def recipe_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For recipes that name a document and a section the first chunk that fits: here every tenth section, as if chosen by hand."""
+    c = cards.simple_chunks(sections.simple_sections(_with_headings(table(spark, sf_dir, "documents"))), "doc_id")
+    c = c.select(F.col("doc_id").alias("doc"), F.col("title").alias("section_title"), "chunk_id", F.lit(1).alias("chunk_index_in_section"))
+    chosen = c.where(hash_mod(F.col("chunk_id"), 10) == 0).select(F.concat(F.lit("recipe_"), "chunk_id").alias("recipe_id"), "doc", "section_title", F.when(hash_mod(F.col("chunk_id"), 20) == 0, 1).alias("index"))
+    return cards.recipe_matches(chosen, c, "chunk_id")
+
+
 QUERIES = {
     f.__name__: f
-    for f in (line_explode, section_split, greedy_pack, chunk_types, sentence_split, hierarchical_chunks, draft_cases, teacher_jobs, html_normalize, html_titles, markdown_line_rules, page_line_rules, chunk_violations, spoiled_chunk_violations, simple_chunks, task_cards, card_samples, text_functions)
+    for f in (line_explode, section_split, greedy_pack, chunk_types, sentence_split, hierarchical_chunks, draft_cases, teacher_jobs, html_normalize, html_titles, markdown_line_rules, page_line_rules, chunk_violations, spoiled_chunk_violations, simple_chunks, task_cards, card_samples, recipe_chunks, text_functions)
 }
 
 _COLLAPSED = "trim(regexp_replace(coalesce(text, ''), '[ \\t\\n\\r\\f\\x0B]+', ' ', 'g'))"
@@ -291,5 +299,7 @@ ORACLES = {
         SELECT reason, count(*) AS n FROM r WHERE reason IS NOT NULL GROUP BY reason""",
     "simple_chunks": f"{_SIMPLE} SELECT chunk_id, doc_id, section_id, title, length(content)::BIGINT AS n_chars, sha256(replace(substr(content, 1, 180), chr(10), ' ')) AS summary_hash FROM k",
     "task_cards": f"{_SIMPLE} SELECT 'card_' || chunk_id AS task_card_id, 'faq' AS task_type, 'draft' AS review_status, chunk_id, sha256('Explain: ' || title) AS goal_hash FROM k",
+    "recipe_chunks": f"""{_SIMPLE}, r AS (SELECT 'recipe_' || chunk_id AS recipe_id, doc_id, title FROM k WHERE {HASH_SQL.format('chunk_id')} % 10 = 0)
+        SELECT recipe_id, min(k.chunk_id) AS chunk_id FROM r JOIN k ON k.doc_id = r.doc_id AND k.title = r.title GROUP BY recipe_id""",
     "card_samples": """SELECT 'sft_card_' || doc_id AS id, 3 AS n_messages, 'system,user,assistant' AS roles, CASE WHEN quality = 1 THEN 'chunk_' || doc_id ELSE 'card_' || doc_id END AS chunks, 'goal ' || doc_id AS asks FROM labels""",
 }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from curata.functions.hashing import hash_mod
@@ -191,6 +191,27 @@ def clarification_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audits.clarification(runs(spark, sf_dir)).select("job_id", *(F.col(f"d_{n}") for n in NAMES), "hint", *(F.col(f"differs_{n}") for n in NAMES[1:]))
 
 
+def pair_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cases of two runs that tags single out, with both answers."""
+    r = runs(spark, sf_dir)
+    return audits.pair(r["reference"], r["v1"], ["clarification"]).withColumn("tags", F.array_join("tags", ","))
+
+
+def pair_case_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tags, tasks and decisions of the pair audit."""
+    r = runs(spark, sf_dir)
+    return audits.pair_counts(audits.pair(r["reference"], r["v1"], ["clarification"]))
+
+
+def dataset_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first two gold rows of each task and split, tasks in their order, five of a split at most."""
+    p = gold.promoted(_reviewed(spark, sf_dir), "in.jsonl")
+    task = F.col("candidate.task_type")
+    two = F.row_number().over(Window.partitionBy("split", task).orderBy("output_id"))
+    ranked = p.select("split", task.alias("task_type"), "output_id", F.element_at("candidate.source_doc_ids", 1).alias("doc"), F.array_position(F.array(*map(F.lit, TASKS)), task).alias("place"), two.alias("n")).where("n <= 2")
+    return ranked.withColumn("at", F.row_number().over(Window.partitionBy("split").orderBy("place", "n"))).where("at <= 5").select("split", "task_type", "output_id", "doc", F.col("at").cast("long").alias("at"))
+
+
 def _artifacts(spark: SparkSession, sf_dir: str, i: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     labels = table(spark, sf_dir, "labels")
     records = F.when(_h(f"bare{i}", 50) > 0, F.array(F.lit("r"))).otherwise(F.array().cast("array<string>")).alias("source_records")
@@ -248,7 +269,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         materialized_outputs, stub_outputs, imported_responses, answer_contracts, status_propagation, promoted_rows, gold_sidecar, promotion_faults, review_export_faults, derivation_counts, excluded_rows,
-        borderline_audit, borderline_backfill, borderline_patterns, clarification_audit, run_summary, run_comparison, judge_run_delta, normalized_pairs, seed_samples, pre_gold_records,
+        borderline_audit, borderline_backfill, borderline_patterns, pair_cases, pair_case_counts, dataset_samples, clarification_audit, run_summary, run_comparison, judge_run_delta, normalized_pairs, seed_samples, pre_gold_records,
     )
 }
 
@@ -305,6 +326,8 @@ def _artifact_sql(i: int) -> str:
       round(avg({_s(f'score{i}', 101)}) FILTER (WHERE {gone} AND {_s(f'blank{i}', 17)} > 0), 2) AS average_quality_score FROM labels)"""
 
 
+_PAIRS = f"""WITH {_run_sql()}, p AS (SELECT *, s1 - s0 AS delta, d0 || '->' || d1 AS decisions, list_filter([CASE WHEN task = 'clarification' THEN 'focus_task_type:clarification' END, CASE WHEN d0 <> d1 THEN 'decision_disagreement' END,
+  CASE WHEN abs(s1 - s0) >= 20 THEN 'high_score_delta>=20' END], lambda x: x IS NOT NULL) AS tags FROM w WHERE j0 AND j1 AND r0 AND r1)"""
 _CASES = f"WITH {_borderline_sql(20, 80, 60, 40)}"
 _PATTERNS = [
     *(f"CASE WHEN {t} THEN ['v{i}', '{p}'] END" for i in (1, 2, 3) for p, t in (("approve_when_codex_rejects", f"d0 = 'reject' AND d{i} = 'approve'"), ("reject_when_codex_approves", f"d0 = 'approve' AND d{i} = 'reject'"), ("same_decision_high_score_delta", f"d0 = d{i} AND d0 <> 'missing' AND abs(s{i} - s0) >= 20"))),
@@ -335,6 +358,11 @@ ORACLES = {
     "borderline_audit": f"{_CASES} SELECT job_id, task AS task_type, place, array_to_string(all_tags, ',') AS tags, spread AS score_spread, hint, same_answer, changed FROM b",
     "borderline_backfill": f"WITH {_borderline_sql(95, 44, 46, 400)} SELECT job_id, task AS task_type, array_to_string(all_tags, ',') AS tags FROM b",
     "borderline_patterns": f"{_CASES}, f AS (SELECT unnest([{', '.join(_PATTERNS)}]) AS f FROM b) SELECT f[1] AS run, f[2] AS pattern, count(*) AS n FROM f WHERE f IS NOT NULL GROUP BY ALL",
+    "pair_cases": f"{_PAIRS} SELECT job_id, task AS task_type, array_to_string(tags, ',') AS tags, delta, decisions, a0 AS reference_answer, a1 AS candidate_answer FROM p WHERE len(tags) > 0",
+    "pair_case_counts": f"""{_PAIRS}, f AS (SELECT unnest(list_transform(tags, lambda x: ['tag', x]) || [['task_type', task], ['decisions', decisions]]) AS f FROM p WHERE len(tags) > 0) SELECT f[1] AS what, f[2] AS key, count(*) AS n FROM f GROUP BY ALL""",
+    "dataset_samples": f"""WITH {_R}, n AS (SELECT split, task, output_id, 'doc_' || doc_id AS doc, row_number() OVER (PARTITION BY split, task ORDER BY output_id) AS n FROM r WHERE review_status = 'human_reviewed'),
+        a AS (SELECT *, row_number() OVER (PARTITION BY split ORDER BY list_position(['{"', '".join(TASKS)}'], task), n) AS "at" FROM n WHERE n <= 2)
+        SELECT split, task AS task_type, output_id, doc, "at" FROM a WHERE "at" <= 5""",
     "clarification_audit": f"""WITH {_run_sql()}, c AS (SELECT *, list_distinct(list_filter([d1, d2, d3], lambda x: x <> 'missing')) AS votes FROM w WHERE task = 'clarification' AND (j0 OR j1 OR j2 OR j3 OR r0 OR r1 OR r2 OR r3))
         SELECT job_id, d0 AS d_reference, d1 AS d_v1, d2 AS d_v2, d3 AS d_v3, CASE WHEN len(votes) <= 1 AND (len(votes) = 0 OR list_contains(votes, d0)) THEN 'stable_alignment' WHEN d1 = d2 AND d3 <> d2 AND d3 <> 'missing' THEN 'v3_outlier'
         WHEN d0 <> 'missing' AND NOT list_contains(votes, d0) THEN 'systematic_openrouter_disagreement' ELSE 'mixed_signal' END AS hint, {', '.join(f"d{i} <> d0 AND d{i} <> 'missing' AND d0 <> 'missing' AS differs_v{i}" for i in (1, 2, 3))} FROM c""",
