@@ -202,7 +202,7 @@ def one_edit(a: str, b: str) -> bool:
 
 def near_removed(found: DataFrame) -> DataFrame:
     """(``h1``, ``h2``) of the lines that have an earlier line one edit away. ``found``: candidates with their lines."""
-    v = variants(found)
+    v = written(variants(found), "line-variants")  # read four times
     me = F.struct("first", "h1", "h2")
     key = ["v1", "v2", "size", "word"]
     # lines that lack the same place: the earliest of them
