@@ -161,3 +161,39 @@ def test_cards(spark):
     assert made.first().chunk_id == "1::chunk_0000" and made.first().summary == "a b"
     s = cards.samples(cards.task_cards(made), "sys").first()
     assert [m.role for m in s.messages] == ["system", "user", "assistant"] and s.source_chunk_ids == ["1::chunk_0000"]
+
+
+def test_canonical_rows_need_a_whole_sidecar(spark):
+    from curata.operators import quality
+
+    rows = spark.createDataFrame([("a", "", ["x"], ("m",)), ("b", None, [], ("n",))], "id string, status string, docs array<string>, meta struct<status:string>")
+    side = spark.createDataFrame([("a", "s", ["y"]), ("b", "", [])], "id string, status string, docs array<string>")
+    got = {r.id: (r.status, r.docs) for r in quality.canonical(rows, side, "id", ["status"], ["docs"]).collect()}
+    assert got == {"a": ("s", ["y"]), "b": ("n", None)}
+    assert {r.id: r.status for r in quality.canonical(rows, None, "id", ["status"], ["docs"]).collect()} == {"a": "m", "b": "n"}
+    with pytest.raises(ValueError, match="missing from the sidecar: b"):
+        quality.canonical(rows, side.where("id = 'a'"), "id", ["status"], [])
+    with pytest.raises(ValueError, match="repeated in the sidecar: a"):
+        quality.canonical(rows, side.unionByName(side.where("id = 'a'")), "id", ["status"], [])
+
+
+def test_faults_of_jobs_cases_and_tasks(spark):
+    from curata.operators import consistency
+
+    jobs = spark.createDataFrame([("j1", "train", "faq", ["c"], "seed", "seed"), ("j2", "train", "faq", ["c"], "seed", "odd"), ("j3", "eval", "faq", ["c"], "promoted", "promoted")], "job_id string, target_split string, task_type string, source_chunk_ids array<string>, job_status string, review_status string")
+    assert {tuple(r) for r in consistency.job_faults(jobs).collect()} == {("j2", "unknown review status"), ("j2", "statuses differ"), ("j2", "repeated split, task and chunks")}
+    cases = spark.createDataFrame([("e1", " ", "b", "promoted", (["r"],), ["c"]), ("e2", "p", None, "x", ([],), ["c"])], "eval_id string, prompt string, expected_behavior string, review_status string, provenance struct<source_records:array<string>>, source_chunk_ids array<string>")
+    assert {tuple(r) for r in consistency.case_faults(cases).collect()} == {("e1", "empty prompt"), ("e2", "empty expected behaviour"), ("e2", "unknown status"), ("e2", "source records don't match chunks")}
+    some = spark.createDataFrame([("clarification",), ("step_by_step",)], "task_type string")
+    assert sorted(r.task for r in consistency.missing_tasks(some).collect()) == ["faq_direct_answer", "troubleshooting", "uncertainty_escalation"]
+    links = spark.createDataFrame([("r", ["c1", "c2", "c9"], ["d1"])], "id string, source_chunk_ids array<string>, source_doc_ids array<string>")
+    chunks = spark.createDataFrame([("c1", "d1"), ("c2", "d2")], "chunk_id string, doc_id string")
+    assert {tuple(r) for r in consistency.link_faults(links, "id", chunks).collect()} == {("r", "chunk of another document"), ("r", "unknown chunk")}
+
+
+def test_recipes_find_their_chunk(spark):
+    c = spark.createDataFrame([("d", "T", "c1", 1, 1), ("d", "T", "c2", 2, 2), ("e", "T", "c3", 1, 3)], "doc string, section_title string, chunk_id string, chunk_index_in_section int, at int")
+    r = lambda *rows: spark.createDataFrame(list(rows), "recipe_id string, doc string, section_title string, index int")
+    assert {x.recipe_id: x.chunk_id for x in cards.recipe_matches(r(("a", "d", "T", None), ("b", "d", "T", 2), ("c", "e", "T", 1)), c, "at").collect()} == {"a": "c1", "b": "c2", "c": "c3"}
+    with pytest.raises(Exception, match="no chunk for z"):
+        cards.recipe_matches(r(("z", "d", "U", None)), c, "at").collect()
