@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import re
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -39,5 +41,8 @@ def frozen(df: DataFrame) -> DataFrame:
         named = spark.conf.get("spark.checkpoint.dir", None)
         if not named and not re.match(r"local(\[|$)", spark.sparkContext.master):
             raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-        spark.sparkContext.setCheckpointDir(named or tempfile.mkdtemp(prefix="curata-"))
+        if not named:
+            named = tempfile.mkdtemp(prefix="curata-")
+            atexit.register(shutil.rmtree, named, ignore_errors=True)
+        spark.sparkContext.setCheckpointDir(named)
     return df.checkpoint()
