@@ -100,7 +100,7 @@ def pre_gold(reviewed_rows: DataFrame, path: str, system: str | None = None) ->
 
 def seed_rows(jobs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Previews of what jobs will become: numbered chat rows and evaluation cases, marked as seeds."""
-    number = lambda prefix: F.concat(F.lit(prefix), F.lpad(F.col("number").cast("string"), 4, "0"))
+    number = lambda prefix: F.format_string(f"{prefix}%04d", "number")
     from curata.operators.numbering import number_rows
 
     sft = number_rows(jobs.where("expected_output_kind = 'sft_sample'"), "job_id").withColumn("number", F.col("number") + 1)

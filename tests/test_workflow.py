@@ -105,3 +105,16 @@ def test_seed_rows(spark):
     a, b = workflow.seed_rows(run_plans.jobs(spark, SF))
     assert a.count() + b.count() == run_plans.jobs(spark, SF).count() and a.orderBy("id").first().id == "sft_0001"
     assert materialize.SFT == "sft_sample"
+
+
+def test_seed_numbers_beyond_four_digits(spark, tmp_path):
+    """Ids of more than 9,999 rows are whole, all different and the SQL's."""
+    import duckdb
+
+    spark.range(12_500).selectExpr("id as doc_id", "1 as quality", "0 as toxic").write.parquet(f"{tmp_path}/labels.parquet")
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW labels AS SELECT * FROM '{tmp_path}/labels.parquet/*.parquet'")
+    rel = con.sql(run_plans.ORACLES["seed_samples"])
+    got = [tuple(r[c] for c in rel.columns) for r in run_plans.seed_samples(spark, str(tmp_path)).collect()]
+    assert len({r[0] for r in got}) == 12_500 and any(r[0] == "sft_10000" for r in got)
+    assert sorted(got) == sorted(rel.fetchall())
